@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters that count as outer blanks of keys, paths and digests (fixed values).
-BLANKS = " \t\r\n "
+BLANKS = " \t\r\n\xa0"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
