@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexmill.llm.langid import detect_languages, language_issues, train
 from lexmill.llm.packing import pack_documents, packing_report
 from lexmill.llm.tokenize import encode_texts
 from lexmill.session import table
@@ -26,5 +27,14 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return packing_report(p8_pack(spark, d), _capacities(spark, d))
 
 
-QUERIES = {"p7_ids": p7_ids, "p8_pack": p8_pack, "p8_report": p8_report}
+def p9_langs(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return detect_languages(docs, "doc_id", "text", train(docs, "doc_id", "text", "lang"), "lang")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return language_issues(p9_langs(spark, d), "doc_id").select("doc_id", "para_no", "lang")
+
+
+QUERIES = {"p7_ids": p7_ids, "p8_pack": p8_pack, "p8_report": p8_report, "p9_found": p9_found, "p9_langs": p9_langs}
 SQL: dict[str, str] = {}
