@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexmill.llm.langid import detect_languages, language_issues, train
 from lexmill.llm.packing import pack_documents, packing_report
+from lexmill.llm.repeats import blocks, repeated_items, source_lines, strip_items
 from lexmill.llm.tokenize import encode_texts
-from lexmill.session import table
+from lexmill.session import entity_key, latest, table
+
+
+def _content() -> Column:
+    return F.coalesce("text", "orig")
+
+
+def _package_lines(spark: SparkSession, d: str) -> DataFrame:
+    granules = latest(table(spark, d, "granules"), {"doc": entity_key(F.col("granule_id"))}, ["updated_at"], ["package_id"])
+    source_of = granules.select("doc", entity_key(F.col("package_id")).alias("source"))
+    return source_lines(table(spark, d, "page_items"), entity_key(F.col("granule_id")), source_of, _content(), ["page_no", "item_no"])
+
+
+def p6_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return blocks(_package_lines(spark, d))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    lines = _package_lines(spark, d)
+    return repeated_items(lines, blocks(lines)).select(F.col("item").alias("item_id"))
+
+
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    lines = _package_lines(spark, d)
+    return strip_items(table(spark, d, "page_items"), repeated_items(lines, blocks(lines)), entity_key(F.col("granule_id")), _content(), ["page_no", "item_no"])
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -36,5 +62,16 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return language_issues(p9_langs(spark, d), "doc_id").select("doc_id", "para_no", "lang")
 
 
-QUERIES = {"p7_ids": p7_ids, "p8_pack": p8_pack, "p8_report": p8_report, "p9_found": p9_found, "p9_langs": p9_langs}
-SQL: dict[str, str] = {}
+P6_SQL = """
+with g as (select lower(trim(regexp_replace(granule_id, '@.*$', ''))) doc, nullif(lower(trim(regexp_replace(package_id, '@.*$', ''))), '') source from granules
+  where nullif(trim(granule_id), '') is not null qualify row_number() over (partition by doc order by updated_at desc) = 1),
+l as (select i.item_id, g.doc, g.source, regexp_replace(lower(coalesce(i.text, i.orig)), '[^\\p{L}\\p{N}]+', '', 'g') line
+  from page_items i join g on lower(trim(regexp_replace(i.granule_id, '@.*$', ''))) = g.doc where g.source is not null),
+n as (select * from l where line <> ''),
+t as (select source, count(distinct doc) docs from n group by source),
+f as (select source, line, count(distinct doc) docs from n group by source, line)
+select distinct item_id from n join f using (source, line) join t using (source) where f.docs >= 8 and f.docs >= 0.1 * t.docs
+"""
+
+QUERIES = {"p6_found": p6_found, "p6_blocks": p6_blocks, "p6_clean": p6_clean, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_report": p8_report, "p9_found": p9_found, "p9_langs": p9_langs}
+SQL: dict[str, str] = {"p6_found": P6_SQL}
