@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm.langid import detect_languages, language_issues, train
+from lexmill.llm.ocr import content_lines, findings, learn, paragraphs_of, repair_lines
 from lexmill.llm.packing import pack_documents, packing_report
 from lexmill.llm.repeats import blocks, repeated_items, source_lines, strip_items
 from lexmill.llm.tokenize import encode_texts
@@ -16,6 +17,20 @@ def _content() -> Column:
     return F.coalesce("text", "orig")
 
 
+def _page_lines(spark: SparkSession, d: str) -> DataFrame:
+    return content_lines(table(spark, d, "page_items"), F.trim("granule_id"), _content())
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    lines = _page_lines(spark, d)
+    return findings(repair_lines(lines, learn(lines)))
+
+
+def p4_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    lines = _page_lines(spark, d)
+    return paragraphs_of(repair_lines(lines, learn(lines), texts=True))
+
+
 def _package_lines(spark: SparkSession, d: str) -> DataFrame:
     granules = latest(table(spark, d, "granules"), {"doc": entity_key(F.col("granule_id"))}, ["updated_at"], ["package_id"])
     source_of = granules.select("doc", entity_key(F.col("package_id")).alias("source"))
@@ -73,5 +88,5 @@ f as (select source, line, count(distinct doc) docs from n group by source, line
 select distinct item_id from n join f using (source, line) join t using (source) where f.docs >= 8 and f.docs >= 0.1 * t.docs
 """
 
-QUERIES = {"p6_found": p6_found, "p6_blocks": p6_blocks, "p6_clean": p6_clean, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_report": p8_report, "p9_found": p9_found, "p9_langs": p9_langs}
+QUERIES = {"p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p6_found": p6_found, "p6_blocks": p6_blocks, "p6_clean": p6_clean, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_report": p8_report, "p9_found": p9_found, "p9_langs": p9_langs}
 SQL: dict[str, str] = {"p6_found": P6_SQL}
