@@ -1 +1 @@
-
+"""Scalar functions: text, identifiers, costs, fuzzy comparison, XML."""
