@@ -381,7 +381,7 @@ def _grouped(lines: DataFrame) -> DataFrame:
     which see some pages of each other; so no task needs a whole granule."""
     page = F.coalesce("page_no", F.lit(0))
     at, group = F.pmod(page, F.lit(GROUP_PAGES)), F.floor(page / GROUP_PAGES).cast("int")
-    groups = F.array_compact(F.array(group, F.when(at < SEEN_AFTER, group - 1), F.when(at >= GROUP_PAGES - SEEN_BEFORE, group + 1)))
+    groups = F.array_compact(F.array(group, F.when((at < SEEN_AFTER) & (group != 0), group - 1), F.when(at >= GROUP_PAGES - SEEN_BEFORE, group + 1)))
     order = ["granule", "_group", "page_no", "item_no", "item_id", "text"]
     spread = lines.select(*LINES, group.alias("_mine"), F.explode(groups).alias("_group")).withColumn("_own", F.col("_mine") == F.col("_group"))
     return spread.select("granule", "_group", "_own", "page_no", "item_no", "item_id", "text").repartition("granule", "_group").sortWithinPartitions(*order)
