@@ -112,16 +112,29 @@ def word_error_rate(reference: str, text: str) -> float:
 # ---- columns
 
 
-def pairwise(f: Callable, kind: T.DataType | str) -> Callable[..., Column]:
-    """A function of two or more strings as an Arrow function of columns; NULL if any of them is."""
+def arrow_function(rows: Callable[..., list], kind: str, *columns: Column) -> Column:
+    """A function of lists of values to a list of results as an Arrow function of columns. Structs are dicts; a missing one has NULL fields."""
+    names = T._parse_datatype_string(kind).names if kind.startswith("struct<") else None
+
+    def run(*series: pd.Series) -> pd.Series:
+        return pd.Series(rows(*series), dtype=object)
+
+    def run_struct(*series: pd.Series) -> pd.DataFrame:
+        found = rows(*series)
+        return pd.DataFrame({n: pd.Series([None if r is None else r[n] for r in found], dtype=object) for n in names})
 
-    def column(*columns: Column) -> Column:
-        def run(*series: pd.Series) -> pd.Series:
-            return pd.Series([None if any(x is None for x in xs) else f(*xs) for xs in zip(*series, strict=True)], dtype=object)
+    f = run_struct if names else run
+    f.__annotations__ = {"series": pd.Series, "return": pd.DataFrame if names else pd.Series}
+    return F.pandas_udf(f, kind)(*columns)
+
+
+def pairwise(f: Callable, kind: str) -> Callable[..., Column]:
+    """A function of two or more strings as an Arrow function of columns; NULL if any of them is."""
 
-        return F.pandas_udf(run, kind)(*columns)
+    def rows(*series: pd.Series) -> list:
+        return [None if any(x is None for x in xs) else f(*xs) for xs in zip(*series, strict=True)]
 
-    return column
+    return lambda *columns: arrow_function(rows, kind, *columns)
 
 
 ratio_col = pairwise(ratio, "double")

@@ -6,11 +6,11 @@ import re
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexmill.functions import ids
+from lexmill.functions.fuzzy import arrow_function
 from lexmill.functions.text import DASHES, QUOTES, SOFT_HYPHEN
 
 USLM, DC = "http://schemas.gpo.gov/xml/uslm", "http://purl.org/dc/elements/1.1/"
@@ -19,6 +19,9 @@ STRUCTURE = ["section", "subsection", "paragraph", "subparagraph", "clause", "su
 NOT_TEXT = {"meta", "sidenote", "note", "page", "legislativeHistory", "centerRunningHead"}
 NOT_PAGE_TEXT = {"meta", "note", "legislativeHistory", "centerRunningHead"}
 
+for _prefix, _uri in (("", USLM), ("dc", DC), ("xsi", "http://www.w3.org/2001/XMLSchema-instance")):
+    ET.register_namespace(_prefix, _uri)
+
 _PLAIN = str.maketrans(QUOTES | DASHES | {SOFT_HYPHEN: None})
 
 
@@ -147,13 +150,7 @@ def page_texts(root: ET.Element, start: str | None = None) -> list[dict[str, str
 def of_document(f: Callable[[ET.Element], object], kind: str) -> Callable[[Column], Column]:
     """A function of a root element as an Arrow function of XML; NULL for NULL and for bad XML."""
 
-    def column(xml: Column) -> Column:
-        def run(s: pd.Series) -> pd.Series:
-            return pd.Series([None if (r := parse(x)) is None else f(r) for x in s], dtype=object)
-
-        return F.pandas_udf(run, kind)(xml)
-
-    return column
+    return lambda xml: arrow_function(lambda s: [None if (r := parse(x)) is None else f(r) for x in s], kind, xml)
 
 
 body_text_col = of_document(body_text, "string")
@@ -164,10 +161,8 @@ structure_col = of_document(structure_counts, "map<string,int>")
 
 
 def page_texts_col(xml: Column, start: Column) -> Column:
-    def run(x: pd.Series, s: pd.Series) -> pd.Series:
-        return pd.Series([None if (r := parse(a)) is None else page_texts(r, b) for a, b in zip(x, s, strict=True)], dtype=object)
-
-    return F.pandas_udf(run, "array<struct<label:string,body:string,sidenote:string>>")(xml, start)
+    rows = lambda x, s: [None if (r := parse(a)) is None else page_texts(r, b) for a, b in zip(x, s, strict=True)]
+    return arrow_function(rows, "array<struct<label:string,body:string,sidenote:string>>", xml, start)
 
 
 def is_xml(c: Column) -> Column:

@@ -75,10 +75,10 @@ def choose_review(records: DataFrame, seed: int | str, n: int, group: str = "per
     return records.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max(1, n // groups)).drop("_n").limit(n)
 
 
-def budget_stop(costs: DataFrame, order: list[str], cost: str, total: int, limit: float, spent: float = 0.0, done: int = 0, least: int = 5) -> DataFrame:
-    """Running budget over an ordered log (a run's pages, one task's worth): `spent_so_far, projected, stops`. It stops when more than the limit is
+def budget_stop(costs: DataFrame, order: list[str], cost: str, total: int, limit: float, spent: float = 0.0, done: int = 0, least: int = 5, by: list[str] | None = None) -> DataFrame:
+    """Running budget over the ordered log of each run (`by`): `spent_so_far, projected, stops`. It stops when more than the limit is
     spent, or, after `least` pages, when the rest at the run's mean cost would exceed it."""
-    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*(by or [])).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     n, so_far = F.count("*").over(w), F.sum(cost).over(w)
     projected = F.lit(spent) + so_far + (F.lit(total - done) - n) * (so_far / n)
     over = (F.lit(spent) + so_far > limit) | ((n >= least) & (F.lit(least) > 0) & (projected > limit))

@@ -172,3 +172,23 @@ def shred_tables(df: DataFrame, keys: dict[str, Column], payload: str, order: st
     parsed = src.mapInArrow(rows, schema)
     newest = parsed.groupBy(*key_names).agg(F.max_by("_rows", F.struct("_order", F.xxhash64("_rows"))).alias("_rows"))
     return newest.select(*key_names, F.inline("_rows"))
+
+
+def decoded(df: DataFrame, key: str, payload: str, order: str) -> DataFrame:
+    """`<key>, payload` of each record's latest readable delivery, as plain JSON of one object whose single values where `references`, `contents`, `pages` or
+    `sections` are lists are lists of one. For readers with a fixed schema."""
+
+    def tidy(o: Any) -> Any:
+        if isinstance(o, dict):
+            return {k: [tidy(v)] if k in ("references", "contents", "sections") and v is not None and not isinstance(v, list) else tidy(v) for k, v in o.items()}
+        return [tidy(x) for x in o] if isinstance(o, list) else o
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [None if (o := decode(t)) is None else json.dumps(tidy(o)) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=[key, "_order", "payload"])
+
+    src = df.where(F.col(key).isNotNull() & F.col(payload).isNotNull()).select(key, F.col(order).alias("_order"), F.col(payload).alias("payload"))
+    kinds = {f.name: f.dataType.simpleString() for f in src.schema}
+    plain = src.mapInArrow(run, f"`{key}` {kinds[key]}, _order {kinds['_order']}, payload string").where("payload is not null")
+    return plain.groupBy(key).agg(F.max_by("payload", F.struct("_order", "payload")).alias("payload"))
