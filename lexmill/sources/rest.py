@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThanOrEqual, InputPartition
 
 Fetch = Callable[[str, dict[str, str]], dict]
@@ -69,6 +70,12 @@ def listing_source(fetch: Fetch) -> type[DataSource]:
     return Listing
 
 
+def register_listing(spark: SparkSession, fetch: Fetch) -> None:
+    """Register the source under `listing`, with filter pushdown into Python sources switched on."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", True)
+    spark.dataSource.register(listing_source(fetch))
+
+
 def folder_fetch(folder: str) -> Fetch:
     """A transport over saved answers: `<path with _>-<offset mark>.json`."""
 
