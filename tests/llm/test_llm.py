@@ -204,8 +204,8 @@ def test_candidates_are_complete_against_brute_force():
 @pytest.fixture(scope="module")
 def voc():
     words = {w: 1000 for w in "whoever destroys public records shall be fined and the secretary attorney-general of united states according to plat recorded obligations preserve military duty-free term lands coast alike president section cases laws".split()}
-    words |= {"fhall": 9, "tern": 900}
-    pairs = {("records", "shall"): 50, ("shall", "be"): 50, ("the", "term"): 50, ("term", "of"): 50}
+    words |= {"fhall": 9, "sec": 900, "see": 1000}
+    pairs = {("records", "shall"): 50, ("shall", "be"): 50, ("to", "see"): 50, ("see", "the"): 50}
     return ocr.Vocabulary(words, 100_000, pairs)
 
 
@@ -213,7 +213,7 @@ def test_corrections(voc):
     assert "fhall" not in voc.words and voc.correct("fhall") == "shall"
     for read, want in (("dcstroys", "destroys"), ("rnilitary", "military"), ("mi1itary", "military"), ("piiblic", "public"), ("secretary", None), ("quilnorra", None), ("1790", None), ("of", None), ("destroy", None), ("6nited", "united")):
         assert voc.correct(read) == want, read
-    assert voc.correct("tern", "the", "of") == "term" and voc.correct("tern", "a", "b") is None  # a word that context contradicts
+    assert voc.correct("sec", "to", "the") == "see" and voc.correct("sec", "a", "b") is None  # a word that context contradicts
 
 
 @pytest.mark.parametrize(
