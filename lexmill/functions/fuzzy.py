@@ -178,10 +178,15 @@ def largest_differences(segments: Column, most: int = 25, cut: int = 400) -> Col
 
 
 def set_overlap(reference: Column, found: Column) -> Column:
-    """Precision, recall and F1 of two arrays as sets; two empty sets agree fully."""
-    r, h = F.array_distinct(reference), F.array_distinct(found)
-    both, nr, nh = F.size(F.array_intersect(r, h)), F.size(r), F.size(h)
-    p = F.when(nh > 0, both / nh).otherwise(F.when(nr == 0, 1.0).otherwise(0.0))
-    q = F.when(nr > 0, both / nr).otherwise(F.when(nh == 0, 1.0).otherwise(0.0))
-    f1 = F.when(p + q > 0, 2 * p * q / (p + q)).otherwise(0.0)
-    return F.struct(F.bround(p, 4).alias("precision"), F.bround(q, 4).alias("recall"), F.bround(f1, 4).alias("f1"), nr.alias("reference"), nh.alias("hypothesis"), both.alias("matched"))
+    """Precision, recall and F1 of two arrays as sets; two empty sets agree fully. Each step is evaluated once per row."""
+    once = lambda value, f: F.transform(F.array(value), f)[0]
+    sets = F.struct(F.array_distinct(reference).alias("r"), F.array_distinct(found).alias("h"))
+    sizes = once(sets, lambda s: F.struct(F.size(s["r"]).alias("r"), F.size(s["h"]).alias("h"), F.size(F.array_intersect(s["r"], s["h"])).alias("both")))
+
+    def scores(n: Column) -> Column:
+        p = F.when(n["h"] > 0, n["both"] / n["h"]).otherwise((n["r"] == 0).cast("double"))
+        q = F.when(n["r"] > 0, n["both"] / n["r"]).otherwise((n["h"] == 0).cast("double"))
+        f1 = F.when(p + q > 0, 2 * p * q / (p + q)).otherwise(0.0)
+        return F.struct(F.bround(p, 4).alias("precision"), F.bround(q, 4).alias("recall"), F.bround(f1, 4).alias("f1"), n["r"].alias("reference"), n["h"].alias("hypothesis"), n["both"].alias("matched"))
+
+    return once(sizes, scores)

@@ -462,10 +462,8 @@ n as (select item_id, len(r) nr, len(h) nh, len(list_intersect(r, h)) m from t),
 q as (select *, case when nh > 0 then m / nh when nr = 0 then 1.0 else 0.0 end p, case when nr > 0 then m / nr when nh = 0 then 1.0 else 0.0 end r from n)
 select item_id, nr::int reference, nh::int hypothesis, m::int matched, round(case when p + r > 0 then 2 * p * r / (p + r) else 0.0 end, 3) f1 from q""")
 def token_overlap(spark: SparkSession, d: str) -> DataFrame:
-    o = _pairs(spark, d).select("item_id", fuzzy.set_overlap(text.tokens(F.col("b")), text.tokens(F.col("a"))).alias("o"))
-    p, r = F.col("o.matched") / F.col("o.hypothesis"), F.col("o.matched") / F.col("o.reference")
-    f1 = F.when((F.col("o.matched") > 0), 2 * p * r / (p + r)).when((F.col("o.reference") == 0) & (F.col("o.hypothesis") == 0), 1.0).otherwise(0.0)
-    return o.select("item_id", "o.reference", "o.hypothesis", "o.matched", F.round(f1, 3).alias("f1"))
+    o = _pairs(spark, d).select("item_id", F.array(fuzzy.set_overlap(text.tokens(F.col("b")), text.tokens(F.col("a")))).alias("o"))
+    return o.select("item_id", F.inline("o")).select("item_id", "reference", "hypothesis", "matched", F.round("f1", 3).alias("f1"))
 
 
 _HEADING = r"'(?s)^([A-Z][A-Z0-9 ,;''’\-]{2,}?)\.\s*[-—–]+\s*(.*)$'"
