@@ -66,8 +66,8 @@ class Place:
     end: int
 
 
-def best_place(needle: str, text: str) -> Place:
-    """The window of `text` most like `needle` (as long as it, or shorter at the text's ends); the earliest of equals.
+def best_place(needle: str, text: str, least: float = 0.0) -> Place:
+    """The window of `text` most like `needle` (as long as it, or shorter at the text's ends); the earliest of equals. Without a window of score `least`, the score is -1.
 
     How many characters a window shares with the needle, whatever their order, bounds its score; windows are
     looked at from the highest bound down, until the bound is below the best score.
@@ -76,7 +76,7 @@ def best_place(needle: str, text: str) -> Place:
     if not n or not m:
         return Place(100.0 if n == m else 0.0, 0, 0)
     if n > m:
-        return Place(best_place(text, needle).score, 0, m)
+        return Place(best_place(text, needle, least).score, 0, m)
     starts = np.concatenate([np.zeros(n - 1, np.int64), np.arange(m - n + 1), np.arange(m - n + 1, m)])
     ends = np.concatenate([np.arange(1, n), np.arange(n, m + 1), np.full(n - 1, m)])
     chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -87,17 +87,17 @@ def best_place(needle: str, text: str) -> Place:
     bound = 200.0 * shared / (n + ends - starts)
     at, best = _positions(needle), Place(-1.0, 0, 0)
     for k in np.lexsort((starts, -bound)).tolist():
-        if bound[k] < best.score:
+        if bound[k] < max(best.score, least):
             break
         s, e = int(starts[k]), int(ends[k])
         score = 200.0 * common_length(needle, text[s:e], at) / (n + e - s)
-        if score > best.score or score == best.score and s < best.start:
+        if score >= least and (score > best.score or score == best.score and s < best.start):
             best = Place(score, s, e)
     return best
 
 
-def partial_ratio(a: str, b: str) -> float:
-    return best_place(a, b).score if len(a) <= len(b) else best_place(b, a).score
+def partial_ratio(a: str, b: str, least: float = 0.0) -> float:
+    return best_place(a, b, least).score if len(a) <= len(b) else best_place(b, a, least).score
 
 
 def opcodes(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[tuple[str, int, int, int, int]]:
