@@ -217,6 +217,7 @@ class Line:
     item: int
     page: int | None
     text: str
+    aside: bool = False  # a notice or stamp, known beforehand or because a word goes on behind it
     furniture: bool = False
     joined: str | None = None  # the whole word whose first part ends the line
     takes: int | None = None  # index of the line its second part is in
@@ -251,11 +252,11 @@ def repair_granule(lines: list[Line], granule: str, voc: Vocabulary) -> None:
         x.furniture = is_running_head(x.text) or is_page_number(x.text, page_label(granule, x.page))
     taken: set[int] = set()
     for k, x in enumerate(lines):
-        if x.furniture or not (m := broken(x.text)):
+        if x.furniture or x.aside or not (m := broken(x.text)):
             continue
         known_only = False
         for j in range(k + 1, len(lines)):
-            if lines[j].furniture:
+            if lines[j].furniture or lines[j].aside:
                 continue
             word = continues(m[1], lines[j].text, voc)
             if word and (word in voc.words or not known_only):
@@ -317,15 +318,20 @@ def opens(x: Line, before: Line | None, width: float) -> bool:
 
 #: Pages of a granule that one group has, and pages of the neighbouring groups that it sees before and after them.
 GROUP_PAGES, SEEN_BEFORE, SEEN_AFTER = 64, 1, 2
-LINES = ["granule", "page_no", "item_no", "item_id", "text"]
+LINES = ["granule", "page_no", "item_no", "item_id", "text", "aside"]
 FLUSH = 200_000
 
 
-def content_lines(items: DataFrame, granule: Column, text: Column) -> DataFrame:
-    """`granule, page_no, item_no, item_id, text`: lines with single blanks. Lines without text are left out; a line without a granule is its own."""
+def content_lines(items: DataFrame, granule: Column, text: Column, notices: DataFrame | None = None) -> DataFrame:
+    """`granule, page_no, item_no, item_id, text, aside`: lines with single blanks. Lines without text are left out; a line without a granule is its own. Items in
+    `notices` (`item`) stand aside: no word goes on in them, and paragraphs go on behind them."""
     flat = F.trim(F.regexp_replace(text, r"[\s\xA0]+", " "))
     own = F.concat(F.lit("?"), F.coalesce(F.col("item_id").cast("string"), F.lit("")))
-    return items.select(F.coalesce(granule, own).alias("granule"), "page_no", "item_no", "item_id", flat.alias("text")).where("text != ''")
+    lines = items.select(F.coalesce(granule, own).alias("granule"), "page_no", "item_no", "item_id", flat.alias("text")).where("text != ''")
+    if notices is None:
+        return lines.withColumn("aside", F.lit(False))
+    known = notices.select(F.col("item").alias("_item")).distinct().withColumn("aside", F.lit(True))
+    return lines.join(known, F.col("item_id") == F.col("_item"), "left").drop("_item").withColumn("aside", F.coalesce("aside", F.lit(False)))
 
 
 def _counts(lines: DataFrame, tally, schema: str) -> DataFrame:
@@ -384,32 +390,35 @@ def _grouped(lines: DataFrame) -> DataFrame:
     groups = F.array_compact(F.array(group, F.when((at < SEEN_AFTER) & (group != 0), group - 1), F.when(at >= GROUP_PAGES - SEEN_BEFORE, group + 1)))
     order = ["granule", "_group", "page_no", "item_no", "item_id", "text"]
     spread = lines.select(*LINES, group.alias("_mine"), F.explode(groups).alias("_group")).withColumn("_own", F.col("_mine") == F.col("_group"))
-    return spread.select("granule", "_group", "_own", "page_no", "item_no", "item_id", "text").repartition("granule", "_group").sortWithinPartitions(*order)
+    return spread.select("granule", "_group", "_own", "page_no", "item_no", "item_id", "text", "aside").repartition("granule", "_group").sortWithinPartitions(*order)
 
 
 def repair_lines(lines: DataFrame, voc: Vocabulary, texts: bool = False) -> DataFrame:
-    """Of content_lines: `granule, page_no, item_no, item_id, furniture, joined, fixes, piece, opens`; without `texts` only lines with a finding.
+    """Of content_lines: `granule, page_no, item_no, item_id, furniture, aside, joined, fixes, piece, opens`; without `texts` only lines with a finding.
 
     joined is the whole word whose first part ends the line, fixes are the words that are misread. Repeated rows of an item count once; NULL page numbers stand
     before others, and a line there is furniture only as a running head.
     """
     shared = lines.sparkSession.sparkContext.broadcast(voc)
-    schema = "granule string, page_no int, item_no int, item_id long, furniture boolean, joined string, fixes array<string>, piece string, opens boolean"
+    schema = "granule string, page_no int, item_no int, item_id long, furniture boolean, aside boolean, joined string, fixes array<string>, piece string, opens boolean"
     names = [x.split()[0] for x in schema.split(", ")]
-    types = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.string(), pa.bool_()]
+    types = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.string(), pa.bool_()]
 
     def finish(granule: str, rows: list[tuple]) -> Iterator[tuple]:
-        found = [Line(item, page, text) for _, page, _, item, text in rows]
+        found = [Line(item, page, text, aside) for _, page, _, item, text, aside in rows]
         repair_granule(found, granule, shared.value)
         takers = {x.takes for x in found if x.takes is not None}
+        for k, x in enumerate(found):
+            for y in found[k + 1 : x.takes or 0]:
+                y.aside = True
         sizes = sorted(len(x.text) for x in found if not x.furniture)
         width = 0.8 * sizes[len(sizes) * 3 // 4] if sizes else 0
         before: Line | None = None
-        for k, (x, (own, page, number, item, _)) in enumerate(zip(found, rows, strict=True)):
-            first = not x.furniture and texts and k not in takers and opens(x, before, width)
+        for k, (x, (own, page, number, item, *_)) in enumerate(zip(found, rows, strict=True)):
+            first = not x.furniture and not x.aside and texts and k not in takers and opens(x, before, width)
             if own and (texts or x.furniture or x.joined or x.fixes):
-                yield granule, page, number, item, x.furniture, x.joined, [w for _, w in x.fixes], None if not texts or x.furniture else piece(x, k in takers), first
-            if not x.furniture:
+                yield granule, page, number, item, x.furniture, x.aside, x.joined, [w for _, w in x.fixes], None if not texts or x.furniture else piece(x, k in takers), first
+            if not x.furniture and not x.aside:
                 before = x
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,7 +432,7 @@ def repair_lines(lines: DataFrame, voc: Vocabulary, texts: bool = False) -> Data
 
         current, rows = None, []
         for b in batches:
-            for granule, group, own, page, number, item, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for granule, group, own, page, number, item, text, aside in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (granule, group) != current:
                     if rows:
                         out.extend(finish(current[0], rows))
@@ -431,7 +440,7 @@ def repair_lines(lines: DataFrame, voc: Vocabulary, texts: bool = False) -> Data
                     if len(out) > 20_000:
                         yield flush()
                 if not rows or rows[-1][3] != item or rows[-1][4] != text:
-                    rows.append((own, page, number, item, text))
+                    rows.append((own, page, number, item, text, aside))
         if rows:
             out.extend(finish(current[0], rows))
         yield flush()
@@ -452,8 +461,13 @@ def findings(repaired: DataFrame) -> DataFrame:
 
 
 def paragraphs_of(repaired: DataFrame) -> DataFrame:
-    """`granule, para_no, text`: continuous paragraphs of each granule, from 1, without furniture."""
+    """`granule, para_no, text, notices`: continuous paragraphs of each granule, from 1, without furniture; the notices that stand within a paragraph or behind it
+    (para_no 0: before the first) are kept beside it."""
     order = Window.partitionBy("granule").orderBy("page_no", "item_no", "item_id")
     numbered = repaired.where("not furniture").withColumn("para_no", F.sum(F.col("opens").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    parts = F.array_sort(F.collect_list(F.when(F.col("piece") != "", F.struct("page_no", "item_no", "item_id", "piece"))))
-    return numbered.groupBy("granule", "para_no").agg(F.array_join(F.transform(parts, lambda x: x["piece"]), " ").alias("text"))
+
+    def parts(keep: Column) -> Column:
+        there = F.array_sort(F.collect_list(F.when(keep & (F.col("piece") != ""), F.struct("page_no", "item_no", "item_id", "piece"))))
+        return F.transform(there, lambda x: x["piece"])
+
+    return numbered.groupBy("granule", "para_no").agg(F.array_join(parts(~F.col("aside")), " ").alias("text"), parts(F.col("aside")).alias("notices"))

@@ -17,8 +17,8 @@ def _content() -> Column:
     return F.coalesce("text", "orig")
 
 
-def _page_lines(spark: SparkSession, d: str) -> DataFrame:
-    return content_lines(table(spark, d, "page_items"), F.trim("granule_id"), _content())
+def _page_lines(spark: SparkSession, d: str, notices: DataFrame | None = None) -> DataFrame:
+    return content_lines(table(spark, d, "page_items"), F.trim("granule_id"), _content(), notices)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -27,8 +27,10 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    lines = _page_lines(spark, d)
-    return paragraphs_of(repair_lines(lines, learn(lines), texts=True))
+    """Paragraphs by granule; the lines repeated within a package (problem 6) are its notices."""
+    repeated = _package_lines(spark, d)
+    lines = _page_lines(spark, d, repeated_items(repeated, blocks(repeated)))
+    return paragraphs_of(repair_lines(lines, learn(_page_lines(spark, d)), texts=True))
 
 
 def _package_lines(spark: SparkSession, d: str) -> DataFrame:

@@ -266,10 +266,21 @@ def test_repair_of_a_frame(spark):
     assert rows(ocr.findings(ocr.repair_lines(lines, voc))) == rows(ocr.findings(repaired))
     texts = {(r.granule, r.para_no): r.text for r in ocr.paragraphs_of(repaired).collect()}
     assert texts["STATUTE-9-Pg500", 1] == "Whoever destroys public records shall be fined."
+    aside = ocr.content_lines(df, F.trim("granule_id"), F.coalesce("text", "orig"), df.where("item_no = 1 and page_no = 1 and granule_id is null").select(F.col("item_id").alias("item")))
+    alone = {(r.granule, r.para_no): (r.text, r.notices) for r in ocr.paragraphs_of(ocr.repair_lines(aside, voc, texts=True)).collect()}
+    assert alone["?103", 0] == ("", ["Whoever shall be"]) and alone["STATUTE-9-Pg500", 1][0] == texts["STATUTE-9-Pg500", 1]
     empty = ocr.content_lines(df.limit(0), F.trim("granule_id"), F.col("text"))
     assert ocr.findings(ocr.repair_lines(empty, ocr.learn(empty))).count() == 0
 
 
+def test_paragraphs_go_on_behind_notices(spark):
+    texts = ["The secretary shall preserve obli-", "By the staff of Torkole", "64 STAT. 8", "gations of the secretary.", "SEC. 2. The secretary shall", "preserve obligations."]
+    df = spark.createDataFrame([(i, "STATUTE-9-Pg7", 1, i, t, None) for i, t in enumerate(texts)], "item_id long, granule_id string, page_no int, item_no int, text string, orig string")
+    words = {w: 1000 for w in ("the", "secretary", "shall", "preserve", "obligations", "of")}
+    got = ocr.paragraphs_of(ocr.repair_lines(ocr.content_lines(df, F.col("granule_id"), F.col("text")), ocr.Vocabulary(words, 10_000), texts=True))
+    assert [(r.para_no, r.text, r.notices) for r in got.orderBy("para_no").collect()] == [(1, "The secretary shall preserve obligations of the secretary.", ["By the staff of Torkole"]), (2, "SEC. 2. The secretary shall preserve obligations.", [])]
+
+
 def test_groups_of_pages_see_across_their_borders(spark):
     n = ocr.GROUP_PAGES * 3
     items = [(p, "STATUTE-9-Pg1", p, 1, "the secretary shall preserve obli-" if p % 2 else "gations of the secretary", None) for p in range(1, n)]
