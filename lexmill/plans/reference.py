@@ -695,3 +695,97 @@ def streamed_status(spark: SparkSession, d: str) -> DataFrame:
     out.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
     rows = spark.read.parquet(f"{folder}/rows")
     return latest(rows, ["unit_id"], ["batch"], ["status", "finished_at", "attempts"])
+
+
+# ---- more sequences, ranges and rates
+
+
+@query("""
+with l as (select distinct granule_id, page_no, item_no, item_id, regexp_matches(coalesce(text, orig), '(?i)^(sec(tion)?[.]? ?[0-9]|an act|joint resolution|a proclamation)') m from page_items where granule_id is not null),
+b as (select *, m and not coalesce(lag(m) over (partition by granule_id order by page_no, item_no, item_id), false) b from l),
+n as (select *, sum(b::int) over (partition by granule_id order by page_no, item_no, item_id rows unbounded preceding) run from b) select item_id, run::bigint run from n where b""")
+def marker_runs(spark: SparkSession, d: str) -> DataFrame:
+    lines = table(spark, d, "page_items").where("granule_id is not null").select("granule_id", "page_no", "item_no", "item_id", F.coalesce("text", "orig").alias("text")).distinct()
+    marker = F.col("text").rlike(r"(?i)^(sec(tion)?[.]? ?[0-9]|an act|joint resolution|a proclamation)")
+    return layout.marker_runs(lines, "granule_id", ["page_no", "item_no", "item_id"], marker).select("item_id", "run")
+
+
+@query("""
+with l as (select distinct granule_id, page_no, item_no, item_id, coalesce(text, orig) t from page_items where granule_id is not null), m as (select *, t like '%.' m from l),
+n as (select *, sum(m::int) over w n from m window w as (partition by granule_id order by page_no, item_no, item_id rows unbounded preceding)),
+a as (select *, lag(case when m then n end) over (partition by granule_id order by page_no, item_no, item_id) k from n) select item_id from a where k = 2""")
+def after_second_ending(spark: SparkSession, d: str) -> DataFrame:
+    lines = table(spark, d, "page_items").where("granule_id is not null").select("granule_id", "page_no", "item_no", "item_id", F.coalesce("text", "orig").alias("text")).distinct()
+    return layout.after_markers(lines, "granule_id", ["page_no", "item_no", "item_id"], F.col("text").endswith("."), F.lit(2)).select("item_id")
+
+
+@query("""
+with i as (select distinct item_id, granule_id, page_no page, item_no pos from page_items where granule_id is not null and page_no is not null),
+s as (select *, row_number() over (partition by granule_id, page order by pos, item_id) - 1 n, 0.87::double * 792 / count(*) over (partition by granule_id, page) slot from i)
+select item_id, round(0.95::double * 792 - n * slot, 4) t, round(0.95::double * 792 - n * slot - slot, 4) b from s""")
+def filled_geometry(spark: SparkSession, d: str) -> DataFrame:
+    i = table(spark, d, "page_items").where("granule_id is not null and page_no is not null").select("item_id", "granule_id", F.col("page_no").alias("page"), F.struct("item_no", "item_id").alias("pos")).distinct()
+    zero = i.select("*", *[F.lit(0.0).alias(c) for c in "ltrb"], F.lit(612.0).alias("width"), F.lit(792.0).alias("height"))
+    return layout.fill_geometry(zero).select("item_id", F.round("t", 4).alias("t"), F.round("b", 4).alias("b"))
+
+
+@query("""
+with f as (select distinct hub_path, size, size % 5 k from hub_entries where size is not null) select hub_path, case when k = 0 then 'missing' when k = 1 then 'complete' when k = 2 then 'oversize' else 'partial' end status from f""")
+def part_status(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "hub_entries").where("size is not null").select("hub_path", "size").distinct()
+    k = F.col("size") % 5
+    got = F.when(k == 0, F.lit(None).cast("bigint")).when(k == 1, F.col("size")).when(k == 2, F.col("size") + 1).otherwise(F.col("size") - 1)
+    return f.select("hub_path", ids.part_status(got, F.col("size")).alias("status"))
+
+
+@query("""
+with a as (select distinct user_id congress, event_id number, event_type <> 'click' found from events),
+r as (select *, sum(case when not found then 1 else 0 end) over (partition by congress order by number rows between 2 preceding and current row) run from a)
+select congress, min(number) - 3 + 1 ends_at from r where run = 3 group by 1""")
+def gap_end(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.gap_end(table(spark, d, "events").select(F.col("user_id").alias("congress"), F.col("event_id").alias("number"), (F.col("event_type") != "click").alias("found")).distinct())
+
+
+@query("""
+with t as (select distinct result_id, profile, coalesce(pages, 0) pages, coalesce(seconds, 0) as seconds from unit_results)
+select count(*) pages, sum(pages)::bigint input_tokens, sum(result_id)::bigint output_tokens, round(sum(pages) * 0.001, 6) cost, round(sum(pages) * 0.001 / count(*), 6) cost_per_page, round(sum(seconds) / count(*), 6) seconds_per_page from t""")
+def usage_totals(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "unit_results").select("result_id", "profile", F.coalesce("pages", F.lit(0)).alias("pages"), F.coalesce("seconds", F.lit(0.0)).alias("seconds")).distinct()
+    u = report.usage_totals(t.select(F.col("pages").alias("input_tokens"), F.col("result_id").alias("output_tokens"), (F.col("pages") * 0.001).alias("cost"), "seconds"))
+    return u.select("pages", "input_tokens", "output_tokens", *[F.round(c, 6).alias(c) for c in ("cost", "cost_per_page", "seconds_per_page")])
+
+
+@query("""
+with t as (select distinct result_id, profile, pages from unit_results where pages is not null)
+select result_id, round((pages * 1000 * case profile when 'vlm:small' then 1.0 when 'vlm:large' then 10.0 else 3.0 end + 500 * case profile when 'vlm:small' then 5.0 when 'vlm:large' then 50.0 else 15.0 end) / 1000000, 6) cost from t""")
+def model_costs(spark: SparkSession, d: str) -> DataFrame:
+    from lexmill.functions.costs import usage_cost
+
+    prices = {"vlm:small": (1.0, 5.0, 0.1, 1.25), "vlm:large": (10.0, 50.0, 1.0, 12.5), "other": (3.0, 15.0, 0.3, 3.75)}
+    t = table(spark, d, "unit_results").where("pages is not null").select("result_id", "profile", "pages").distinct()
+    return t.select("result_id", F.round(usage_cost(F.col("profile"), F.col("pages") * 1000, F.lit(500), F.lit(None).cast("int"), F.lit(None).cast("int"), prices, "other"), 6).alias("cost"))
+
+
+@query("""
+with p as (select distinct granule_id, page_no pdf_page from page_items where granule_id is not null and page_no is not null), t as (select distinct granule_id, page_start pdf_page, title body from granules qualify row_number() over (partition by granule_id order by updated_at desc) = 1),
+h as (select distinct granule_id from t) select p.granule_id, p.pdf_page, case when t.granule_id is not null then 'text' when h.granule_id is not null then 'page missing' else 'no output' end source from p left join t on t.granule_id = p.granule_id and t.pdf_page = p.pdf_page left join h on h.granule_id = p.granule_id""")
+def candidate_texts(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "page_items").where("granule_id is not null and page_no is not null").select("granule_id", F.col("page_no").alias("pdf_page")).distinct()
+    t = _granules(spark, d).select("granule_id", F.col("page_start").alias("pdf_page"), F.col("title").alias("body"), F.lit("").alias("sidenote"))
+    return report.candidate_texts(p, t).select("granule_id", "pdf_page", "source")
+
+
+@query("""
+with a as (select distinct granule_id from granules), b as (select distinct granule_id from slices where granule_id is not null)
+select granule_id, 'no slice' reason from a where granule_id not in (select granule_id from b) union all select granule_id, 'slice without a listed granule' from b where granule_id not in (select granule_id from a)""")
+def unpaired_slices(spark: SparkSession, d: str) -> DataFrame:
+    from lexmill.operators.split import unpaired
+
+    listing = table(spark, d, "granules").select(F.lit(0).alias("volume"), "granule_id", F.lit(None).cast("string").alias("granule_class")).distinct()
+    cut = table(spark, d, "slices").where("granule_id is not null").select(F.lit(0).alias("volume"), "granule_id", F.lit(None).cast("string").alias("granule_class")).distinct()
+    return unpaired(cut, listing).select("granule_id", "reason")
+
+
+@query("select doc_id, sha256(text) sha256 from documents where text is not null")
+def content_digests(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where("text is not null").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
