@@ -36,7 +36,7 @@ def p4_paragraphs(spark: SparkSession, d: str) -> DataFrame:
 def _package_lines(spark: SparkSession, d: str) -> DataFrame:
     granules = latest(table(spark, d, "granules"), {"doc": entity_key(F.col("granule_id"))}, ["updated_at"], ["package_id"])
     source_of = granules.select("doc", entity_key(F.col("package_id")).alias("source"))
-    return source_lines(table(spark, d, "page_items"), entity_key(F.col("granule_id")), source_of, _content(), ["page_no", "item_no"])
+    return source_lines(table(spark, d, "page_items"), entity_key(F.col("granule_id")), source_of, _content(), ["page_no", "item_no"], page=F.col("page_no"))
 
 
 def p6_blocks(spark: SparkSession, d: str) -> DataFrame:

@@ -165,6 +165,15 @@ def test_blocks_of_several_lines_count_documents_not_occurrences(spark):
     assert repeats.blocks(lines.limit(0)).count() == 0
 
 
+def test_blocks_go_over_the_borders_of_page_groups(spark):
+    n = repeats.GROUP_PAGES
+    items = spark.createDataFrame([(100 * d + p, f"d{d}", p, t) for d in range(3) for p, t in ((n - 1, "one"), (n, "two"), (n + 1, "three"), (2 * n, f"own {d}"))], "item_id long, doc string, page int, text string")
+    of = spark.createDataFrame([(f"d{d}", "s") for d in range(3)], "doc string, source string")
+    lines = repeats.source_lines(items, F.col("doc"), of, F.col("text"), ["page"], page=F.col("page"))
+    got = repeats.blocks(lines, 3, 0.5, 4).collect()
+    assert sorted((r.lines, r.docs, r.source_docs) for r in got) == [(1, 3, 3)] * 3 + [(2, 3, 3)] * 2 + [(3, 3, 3)]
+
+
 def test_source_lines_and_stripping(spark):
     items = spark.createDataFrame([(1, "G1", 1, "keep", 0), (2, "g1 ", 2, "Drop", 0), (2, "g1 ", 2, "Drop", 0), (3, None, 1, "x", 0), (4, "g2", 1, None, 0), (5, "g3", 1, "y", 0)], "item_id long, g string, n int, text string, source int")
     of = spark.createDataFrame([("g1", "s"), ("g2", "s"), ("g3", None)], "doc string, source string")
