@@ -63,7 +63,7 @@ def p2_items(spark: SparkSession, d: str) -> DataFrame:
     flat = shred_tables(src, {"granule_id": F.col("granule_id")}, "payload", "fetched_at", ITEM_TABLES)
     return flat.select(
         "granule_id", F.col("tbl").alias("kind"), F.col("idx")[0].alias("position"), F.col("idx")[1].alias("place"),
-        F.col("vals")[0].alias("self_ref"), F.col("vals")[1].alias("parent_ref"), F.expr("try_cast(vals[2] as decimal(28, 12))").alias("l"),
+        F.col("vals")[0].alias("self_ref"), F.col("vals")[1].alias("parent_ref"), F.round(F.expr("try_cast(vals[2] as decimal(28, 12))"), 4).cast("double").alias("l"),
     )
 
 
@@ -77,7 +77,7 @@ def p2_sections(spark: SparkSession, d: str) -> DataFrame:
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     items = p2_items(spark, d).select(
         F.col("granule_id").alias("record_id"), F.lit("item").alias("kind"), F.coalesce("parent_ref", F.lit("")).alias("parent_key"),
-        F.col("self_ref").alias("child_key"), F.coalesce(F.round(F.col("l") * 100).cast("long"), F.lit(-1)).alias("num"),
+        F.col("self_ref").alias("child_key"), F.coalesce(F.round(F.col("l").cast("decimal(28, 6)") * 100).cast("long"), F.lit(-1)).alias("num"),
     )
     sections = p2_sections(spark, d).select(
         F.col("package_id").alias("record_id"), F.lit("section").alias("kind"), F.concat_ws("/", "reference", "content").alias("parent_key"),
@@ -94,7 +94,7 @@ where p is not null and json_type(p) = 'OBJECT' group by id
 """
 _AS_LIST = "case when {x} is null or json_type({x}) = 'NULL' then []::json[] when json_type({x}) = 'ARRAY' then from_json({x}, '[\"JSON\"]') else [{x}] end"
 
-P2_SQL = f"""
+_P2 = f"""
 with layout as ({_JSON_LATEST.format(id='granule_id', table='layout_docs')}),
 objects as (select id, unnest({' || '.join('(' + _AS_LIST.format(x=f"(p->'{k}')") + ')' for k in ('texts', 'groups', 'tables'))}) o from layout),
 places as (select id, o, {_AS_LIST.format(x="(o->'prov')")} pr from objects),
@@ -103,12 +103,25 @@ summary as ({_JSON_LATEST.format(id='package_id', table='plaw_summaries')}),
 refs as (select id, generate_subscripts(l, 1) - 1 i, unnest(l) r from (select id, {_AS_LIST.format(x="(p->'references')")} l from summary)),
 cont as (select id, i, generate_subscripts(l, 1) - 1 j, unnest(l) c from (select id, i, {_AS_LIST.format(x="(r->'contents')")} l from refs)),
 secs as (select id, i, j, generate_subscripts(l, 1) - 1 n, unnest(l) s from (select id, i, j, {_AS_LIST.format(x="(c->'sections')")} l from cont))
+"""
+
+P2_SQL = f"""{_P2}
 select distinct id record_id, 'item' kind,
   coalesce(case when json_type(o->'parent') = 'VARCHAR' then o->>'parent' else o->'parent'->>'$."$ref"' end, '') parent_key, o->>'self_ref' child_key,
   coalesce(round(try_cast(e->'bbox'->>'l' as decimal(28, 12)) * 100)::bigint, -1) num from boxes
 union all select distinct id, 'section', i || '/' || j, s->>'$', n::bigint from secs
 """
 
+P2_ITEMS_SQL = f"""
+with layout as ({_JSON_LATEST.format(id='granule_id', table='layout_docs')}),
+lists as ({' union all '.join(f"select id, '{k}' kind, {_AS_LIST.format(x=f"(p->'{k}')")} l from layout" for k in ('texts', 'groups', 'tables'))}),
+objects as (select id, kind, generate_subscripts(l, 1) - 1 position, unnest(l) o from lists),
+places as (select id, kind, position, o, {_AS_LIST.format(x="(o->'prov')")} pr from objects),
+boxes as (select id, kind, position, o, -1 place, 'null'::json e from places where len(pr) = 0 union all select id, kind, position, o, generate_subscripts(pr, 1) - 1, unnest(pr) from places where len(pr) > 0)
+select id granule_id, kind, position::int position, place::int place, o->>'self_ref' self_ref, case when json_type(o->'parent') = 'VARCHAR' then o->>'parent' else o->'parent'->>'$."$ref"' end parent_ref,
+  round(try_cast(e->'bbox'->>'l' as decimal(28, 12)), 4)::double l from boxes
+"""
+
 # ---- 3: processing only new or changed records
 
 UNIT = ["unit_id", "profile", "page_range"]
@@ -184,11 +197,15 @@ union all select hub_path, 'sha256' from b where in_l and in_h and ls <> hs
 union all select hub_path, 'local' from b where in_l and expected <> local
 """
 
-QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found}
+QUERIES = {
+    "p1_found": p1_found, "p1_report": p1_report, "p2_found": p2_found, "p2_items": p2_items, "p2_sections": p2_sections, "p3_found": p3_found, "p5_found": p5_found, "p5_diffs": p5_diffs,
+}
 SQL = {
     "p1_found": P1_SQL,
     "p1_report": f"select child_table, period, reason, count(*) orphans from ({P1_SQL}) group by all",
     "p2_found": P2_SQL,
+    "p2_sections": f"{_P2} select id package_id, i::int reference, j::int content, n::int position, s->>'$' section from secs",
+    "p2_items": P2_ITEMS_SQL,
     "p3_found": P3_SQL,
     "p5_found": P5_SQL,
 }
