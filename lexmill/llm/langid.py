@@ -31,6 +31,8 @@ SAMPLE_DOCS = 400
 SAMPLE_CHARS = 20_000
 HASH_BITS = 16
 ORDERS = (3, 5)
+#: Characters that are scored together, and n-grams whose rows of the matrix are held at once, to bound memory.
+STEP_CHARS, BLOCK = 1 << 20, 1 << 18
 SMOOTHING = 0.05
 #: A sentence has at least so many letters and words, and so likely n-grams under its language (nats per n-gram, relative to the training text's mean).
 MIN_LETTERS, MIN_WORDS, MAX_LOSS = 16, 4, 2.0
@@ -100,13 +102,15 @@ class Model:
     def score(self, text: str, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sums of log-probabilities (pieces by languages), numbers of n-grams, letters and words."""
         grams, begins, letters, words = ngrams(text, starts)
-        total, number = np.zeros((len(starts), 8), np.float32), np.zeros(len(starts), np.int64)
+        total, number = np.zeros((len(starts), 8)), np.zeros(len(starts), np.int64)
         for table, h, at in zip(self.logp, grams, begins, strict=True):
             ends = np.append(at[1:], len(h))
-            some = ends > at
-            if some.any():
-                total[some] += np.add.reduceat(table[h], at[some], axis=0)
             number += ends - at
+            some = np.flatnonzero(ends > at)
+            for lo in range(0, len(h), BLOCK):
+                hi = min(lo + BLOCK, len(h))
+                here = some[(at[some] < hi) & (ends[some] > lo)]
+                total[here] += np.add.reduceat(table[h[lo:hi]], np.maximum(at[here], lo) - lo, axis=0)
         return total[:, : len(LANGS)], number, letters, words
 
 
@@ -132,6 +136,27 @@ def joined(texts: list[str]) -> tuple[str, np.ndarray]:
     return "\n".join(texts) + "\n", starts[:-1]
 
 
+def portions_of(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in lists of about STEP_CHARS characters; a longer text is a list of its own."""
+    part: list[str] = []
+    chars = 0
+    for t in texts:
+        if part and chars + len(t) > STEP_CHARS:
+            yield part
+            part, chars = [], 0
+        part.append(t)
+        chars += len(t)
+    yield part
+
+
+def _scored(model: Model, texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Scores of texts; a text longer than STEP_CHARS is scored by stretches, which are added up."""
+    if len(texts) > 1 or len(texts[0]) <= STEP_CHARS:
+        return model.score(*joined(texts))
+    parts = [model.score(*joined([texts[0][i : i + STEP_CHARS]])) for i in range(0, len(texts[0]), STEP_CHARS)]
+    return tuple(sum(x[1:], x[0]) for x in zip(*parts, strict=True))
+
+
 def paragraphs(text: str) -> list[str]:
     """Runs of lines (ended by a line feed) that are not blank."""
     out, run = [], []
@@ -153,8 +178,7 @@ def classify(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np
     """
     if not texts:
         return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
-    text, starts = joined(texts)
-    total, number, letters, words = model.score(text, starts)
+    total, number, letters, words = (np.concatenate(x) for x in zip(*(_scored(model, t) for t in portions_of(texts)), strict=True))
     best = total.argmax(1)
     top = total.max(1, keepdims=True)
     confidence = 1 / np.exp((total - top) / max(ORDERS)).sum(1)
@@ -188,8 +212,6 @@ def train(docs: DataFrame, key: str, text: str, label: str, sample_docs: int = S
     return fit(sure) if sure else first
 
 
-#: Texts per step within an Arrow batch: as many as have about this many characters together, to bound memory.
-STEP_CHARS = 1 << 20
 
 
 def detect_languages(docs: DataFrame, key: str, text: str, model: Model, label: str | None = None) -> DataFrame:

@@ -108,12 +108,12 @@ class TreeEncoder:
         return list(chain.from_iterable(self.tree(text, 0, len(text)).ids))
 
     def count(self, text: str | None) -> int:
-        """Number of ids of a text."""
+        """Number of ids of a text. Runs don't depend on each other, so those of a long text needn't be held at once."""
         if not text:
             return 0
         if len(text) <= self.leaf_chars:
             return sum(map(self.lengths.__getitem__, RUN.findall(text)))
-        return sum(map(len, self.tree(text, 0, len(text)).ids))
+        return sum(self.lengths[m[0]] for m in RUN.finditer(text))
 
     def tree(self, text: str, lo: int, hi: int) -> Node:
         if hi - lo <= self.leaf_chars:

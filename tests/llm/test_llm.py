@@ -346,6 +346,13 @@ def test_no_sentence_no_language(trained):
     assert (langs == -1).all() and len(langid.classify(trained, [])[0]) == 0
 
 
+def test_a_very_long_paragraph(trained):
+    text = (SENTENCES["it"] + " ") * 20_000
+    assert len(text) > langid.STEP_CHARS
+    langs, confidence, letters = langid.classify(trained, [SENTENCES["fr"], text, SENTENCES["de"]])
+    assert [langid.LANGS[k] for k in langs] == ["fr", "it", "de"] and letters[1] == sum(map(str.isalpha, text))
+
+
 def test_issues_of_a_frame(spark, trained):
     en, fr = SENTENCES["en"], SENTENCES["fr"]
     docs = [(1, en, "en"), (2, en, "fr"), (3, f"{en}\n\n{en}\n\n{fr}", "English"), (4, None, None), (5, " \n", "en"), (6, fr, None), (7, "12 34", None), (8, f"{fr}\r\n\r\n" * 300 + en, "fr-FR")]
