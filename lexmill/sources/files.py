@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -95,8 +95,7 @@ def write_documents(docs: DataFrame, path: str, profile: str = "profile") -> Non
     docs.write.partitionBy(profile).mode("append").parquet(path)
 
 
-def valid_documents(spark: SparkSession, path: str, row_tag: str, xsd: str) -> DataFrame:
-    """`valid` of each XML row against a schema file that all executors have, by the XML reader's own validation."""
-    schema = "_corrupt_record string"
-    raw = spark.read.format("xml").option("rowTag", row_tag).option("rowValidationXSDPath", xsd).option("mode", "PERMISSIVE").schema(schema + ", _path string").load(path)
-    return raw.select(F.col("_corrupt_record").isNull().alias("valid"))
+def is_valid(xml: Column, xsd: str) -> Column:
+    """Whether documents are valid by a schema file that all executors have; NULL for NULL. It is the XML reader's own validation: yes or no, without the errors."""
+    read = F.from_xml(xml, "_corrupt_record string, _other string", {"rowValidationXSDPath": xsd, "mode": "PERMISSIVE"})
+    return F.when(xml.isNotNull(), read["_corrupt_record"].isNull())

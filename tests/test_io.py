@@ -44,6 +44,13 @@ def test_listings_specs_and_timings(spark, tmp_path):
     assert [files.cached_listing(spark, str(tmp_path / "cache"), listing).count() for _ in range(2)] == [3, 3] and made == [1]
 
 
+def test_schema_validation(spark, tmp_path):
+    (tmp_path / "law.xsd").write_text('<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="law"><xs:complexType><xs:sequence><xs:element name="num" type="xs:int"/></xs:sequence></xs:complexType></xs:element></xs:schema>')
+    df = spark.createDataFrame([(1, "<law><num>1</num></law>"), (2, "<law><num>x</num></law>"), (3, "<law/>"), (4, "<law>"), (5, None)], "i int, x string")
+    got = {r.i: r.v for r in df.select("i", files.is_valid(F.col("x"), str(tmp_path / "law.xsd")).alias("v")).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False, 5: None}
+
+
 def test_paginated_listing_pushes_filters(spark, tmp_path):
     page = lambda n, more: {"packages": [{"packageId": f"P{n}", "congress": "118"}, {"packageId": f"Q{n}", "congress": "117"}], **({"nextPage": "x", "nextOffsetMark": "m2"} if more else {})}
     (tmp_path / "collections_PLAW-first.json").write_text(json.dumps(page(1, True)))
