@@ -32,7 +32,7 @@ SAMPLE_CHARS = 20_000
 HASH_BITS = 16
 ORDERS = (3, 5)
 #: Characters that are scored together, and n-grams whose rows of the matrix are held at once, to bound memory.
-STEP_CHARS, BLOCK = 1 << 20, 1 << 18
+STEP_CHARS, BLOCK = 1 << 20, 1 << 21
 SMOOTHING = 0.05
 #: A sentence has at least so many letters and words, and so likely n-grams under its language (nats per n-gram, relative to the training text's mean).
 MIN_LETTERS, MIN_WORDS, MAX_LOSS = 16, 4, 2.0
