@@ -654,6 +654,23 @@ def pivoted_status(spark: SparkSession, d: str) -> DataFrame:
     return t.groupBy("unit_id").pivot("profile", ["digital", "scanned", "vlm:small"]).agg(F.max("status"))
 
 
+#: The profiles of unit_results; others, with an input's tag (`digital@clean`) too, go to `rest`.
+PROFILES = ["digital", "scanned", "scanned:psm6", "tesseract:psm4", "vlm:small", "vlm:large", "hybrid:scanned"]
+
+
+@query(f"""
+with t as (select unit_id, profile, max(status) status from unit_results group by 1, 2), r as (select *, coalesce(profile, '?') || '=' || coalesce(status, '?') said from t)
+select unit_id, {", ".join(f"""max(case when profile = '{p}' then status end) "{p}" """ for p in PROFILES)},
+  string_agg(said, '; ' order by said) filter (profile is null or profile not in ({", ".join(f"'{p}'" for p in PROFILES)})) rest from r group by 1""")
+def pivoted_status_all(spark: SparkSession, d: str) -> DataFrame:
+    """A row for every unit with its status under each profile; under any other one as `profile=status` in `rest`. pivoted_status has three of the profiles, as its SQL does."""
+    t = table(spark, d, "unit_results").groupBy("unit_id", "profile").agg(F.max("status").alias("status"))
+    other = ~F.coalesce(F.col("profile").isin(PROFILES), F.lit(False))
+    said = F.concat_ws("=", F.coalesce("profile", F.lit("?")), F.coalesce("status", F.lit("?")))
+    rest = F.array_join(F.array_sort(F.collect_list(F.when(other, said))), "; ")
+    return t.groupBy("unit_id").agg(*[F.max(F.when(F.col("profile") == p, F.col("status"))).alias(p) for p in PROFILES], F.when(rest != "", rest).alias("rest"))
+
+
 @query("select l_returnflag, l_linestatus, round(avg(l_discount), 4) mean_cer, '| ' || l_returnflag || ' | ' || l_linestatus || ' | ' || printf('%.3f', round(avg(l_discount), 4)) || ' |' \"row\" from lineitem group by 1, 2")
 def markdown_report(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.round(F.avg("l_discount"), 4).alias("mean_cer"))
