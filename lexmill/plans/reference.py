@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.functions import fuzzy, ids, markers, text
+from lexmill.functions import fuzzy, ids, markers, text, xml
 from lexmill.operators import catalog, layout, metrics, report, sampling, shred
 from lexmill.session import latest, table
 
@@ -544,32 +544,34 @@ def built_documents(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def compared_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Documents built from both readings of the lines, compared."""
-    pair = _both_readings(spark, d)
+    """Documents built from both readings of the lines, compared. A line that one reading lacks differs; a document that one reading lacks is empty there."""
+    pair = _both_readings(spark, d, F.col("text")).withColumns({c: F.coalesce(c, F.lit(f'<lawDoc xmlns="{xml.USLM}"/>')) for c in ("reference", "generated")})
     out = metrics.compare(pair, "reference", "generated")
     return out.select("granule_id", F.round("cer", 6).alias("cer"), F.round("wer", 6).alias("wer"), F.round("equal_ratio", 6).alias("equal_ratio"), "clip_found", F.col("section_match.recall").alias("section_recall"), F.col("identifier_overlap.f1").alias("id_f1"), F.size("diffs").alias("diffs"))
 
 
-def _both_readings(spark: SparkSession, d: str) -> DataFrame:
+def _both_readings(spark: SparkSession, d: str, generated: Column) -> DataFrame:
+    """Documents of all lines with orig (`reference`) and of all with the `generated` text; NULL for a granule without such lines."""
     from lexmill.operators.build import build_documents
 
-    base = table(spark, d, "page_items").where("granule_id is not null and text is not null and orig is not null")
+    base = table(spark, d, "page_items").where("granule_id is not null")
     g = _granules(spark, d).select("granule_id", catalog.identity_of_granule({c: F.col(c) for c in ("granule_class", "number", "congress", "package_id", "page_start", "granule_id", "date_issued", "title")}).alias("identity"))
 
-    def built(c: str, name: str) -> DataFrame:
-        p = base.select("item_id", "granule_id", F.col("page_no").alias("page"), F.col("item_no").alias("pos"), "label", F.col(c).alias("text"), "l", "t", "r", "b").distinct()
+    def built(c: Column, name: str) -> DataFrame:
+        p = base.where(c.isNotNull()).select("item_id", "granule_id", F.col("page_no").alias("page"), F.col("item_no").alias("pos"), "label", c.alias("text"), "l", "t", "r", "b").distinct()
         p = p.withColumn("width", F.lit(612.0)).withColumn("height", F.lit(792.0)).withColumn("cells", F.lit(None).cast("array<array<string>>"))
         return build_documents(layout.classify_items(p), g).select("granule_id", F.col("xml").alias(name))
 
-    return built("orig", "reference").join(built("text", "generated"), "granule_id")
+    return built(F.col("orig"), "reference").join(built(generated, "generated"), "granule_id", "full")
 
 
 @query()
 def hybrid_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The structure of the documents built from orig with the words of every line's content: text, else orig."""
     from lexmill.operators.hybrid import hybrids
 
     who = F.struct(F.lit(None).cast("int").alias("congress"), F.lit(None).cast("int").alias("law_number"), F.lit(False).alias("is_private"), ids.granule_volume(F.col("granule_id")).alias("volume"), F.lit(None).cast("string").alias("date_issued"), F.lit(None).cast("string").alias("chapter"))
-    pair = _both_readings(spark, d).select("granule_id", F.col("reference").alias("publisher_xml"), F.col("generated").alias("candidate_xml"), who.alias("identity"))
+    pair = _both_readings(spark, d, F.coalesce("text", "orig")).select("granule_id", F.col("reference").alias("publisher_xml"), F.col("generated").alias("candidate_xml"), who.alias("identity"))
     return hybrids(pair, "granule_id").withColumn("warnings", F.size("warnings"))
 
 
