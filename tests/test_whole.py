@@ -26,3 +26,9 @@ def test_lines_of_one_reading_count_in_documents(spark, tmp_path):
     assert [(x.granule_id, x.cer, x.wer, x.equal_ratio, x.diffs) for x in (b, c)] == [("b", 1, 1, 0, 1), ("c", 1, 1, 0, 1)]
     xmls = {r.granule_id: r.xml for r in reference.hybrid_documents(spark, d).collect()}
     assert all(w in xmls["a"] for w in ("enacted", "onlytext", "onlyorig", "end")) and "some text" in xmls["b"] and "orig" in xmls["c"]
+
+
+def test_word_errors_tell_other_than_ascii_characters_apart(spark, tmp_path):
+    lines = [(1, None, "señor état", "señor étât"), (2, None, "señor", "señor"), (3, None, "a b", "a c"), (4, None, None, "x")]
+    d = write(spark.createDataFrame(lines, "item_id bigint, volume int, text string, orig string"), tmp_path, "page_items")
+    assert sorted((r.item_id, r.wer) for r in reference.word_errors(spark, d).collect()) == [(1, 0.5), (2, 0), (3, 0.5)]
