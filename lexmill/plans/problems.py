@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators.diff import Field, diff_copies, diff_fields
-from lexmill.operators.incremental import assign_sequence, pending, to_intervals
+from lexmill.operators.incremental import IntervalLedger, number_arrivals, pending, ranges_of, to_intervals
 from lexmill.operators.references import orphan_references, orphan_report, validity_intervals
 from lexmill.operators.shred import Table, shred_tables
-from lexmill.session import BLANKS, blank_trim, digest_key, entity_key, latest, table
+from lexmill.session import BLANKS, blank_trim, cut, digest_key, ensure_checkpoint_dir, entity_key, latest, table
 
 # ---- 1: references to records that do not exist
 
@@ -131,16 +133,47 @@ def _unit_keys() -> dict[str, Column]:
     return {"unit_id": F.col("unit_id"), "profile": F.col("profile"), "page_range": blank_trim(F.coalesce(F.col("page_range"), F.lit("")))}
 
 
+def _listings(units: DataFrame) -> DataFrame:
+    """The listings in force: the latest of each unit, unless removed."""
+    current = latest(units, _unit_keys(), ["listed_at"], ["input_sha256", "removed"]).where("not coalesce(removed, false)")
+    return current.select(*UNIT, digest_key(F.col("input_sha256")).alias("digest"))
+
+
+def _done_numbers(log: DataFrame, results: DataFrame) -> DataFrame:
+    """`seq` of the listings whose latest result, whenever it was recorded, is a success over the same digest."""
+    ended = results.where("finished_at is not null and status is distinct from 'skipped'")
+    last = latest(ended, _unit_keys(), ["finished_at", "recorded_at", "result_id"], ["status", "input_sha256"]).where("status = 'success'")
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in UNIT]
+    good = last.select(*UNIT, digest_key(F.col("input_sha256")).alias("digest")).where("digest is not null")
+    return log.alias("l").join(good.alias("r"), [*same, F.col("l.digest") == F.col("r.digest")]).select("l.seq")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """Latest listings get sequence numbers; those whose latest result is a success with the same digest are the
-    processed intervals; the units in the gaps are to be processed."""
-    listed = latest(table(spark, d, "units"), _unit_keys(), ["listed_at"], ["input_sha256", "removed"]).where("not coalesce(removed, false)")
-    ended = table(spark, d, "unit_results").where("finished_at is not null and status is distinct from 'skipped'")
-    result = latest(ended, _unit_keys(), ["finished_at", "recorded_at", "result_id"], ["status", "input_sha256"])
-    known = listed.alias("u").join(result.alias("r"), [F.col(f"u.{k}").eqNullSafe(F.col(f"r.{k}")) for k in UNIT], "left")
-    done = (F.col("r.status") == "success") & (digest_key(F.col("r.input_sha256")) == digest_key(F.col("u.input_sha256")))
-    log = assign_sequence(known.select(*[F.col(f"u.{k}") for k in UNIT], F.coalesce(done, F.lit(False)).alias("done")), UNIT)
-    return pending(log, to_intervals(log.where("done"))).select(*UNIT)
+    """The listings in force are numbered on arrival; the numbers that results commit become the processed intervals; the units in the gaps they leave are to be processed."""
+    log, behind = number_arrivals(_listings(table(spark, d, "units")))
+    processed = to_intervals(_done_numbers(log, table(spark, d, "unit_results")))
+    return pending(log, processed, available=ranges_of(spark, (0, behind))).select(*UNIT)
+
+
+#: Months up to which the listings of each delivery of p3_runs came in; the last delivery has all.
+DELIVERIES = 3
+
+
+def p3_runs(spark: SparkSession, d: str) -> DataFrame:
+    """`delivery, unit_id, profile, page_range, digest`: the ledger over deliveries of listings, each of which has all listings of the one before. Every listed version is
+    processed in the delivery that first has it, and only there."""
+    units = table(spark, d, "units")
+    at = units.agg(F.min("listed_at").alias("a"), F.max("listed_at").alias("b")).first()
+    path = f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    ledger = IntervalLedger(spark, path, UNIT, ["digest"])
+    for k in range(DELIVERIES):
+        share = (k + 1) / DELIVERIES
+        have = units if at.a is None or share == 1 else units.where(F.col("listed_at") <= F.lit(at.a + (at.b - at.a) * share))
+        ledger.arrive(have.select(*[e.alias(c) for c, e in _unit_keys().items()], digest_key(F.col("input_sha256")).alias("digest")))
+        ledger.run(lambda todo, k=k: todo.select(F.lit(k + 1).alias("delivery"), *UNIT, "digest"))
+    out = cut(ledger.output())
+    ledger.remove()
+    return out
 
 
 P3_SQL = f"""
@@ -154,6 +187,13 @@ where not coalesce(u.removed, false) and not coalesce(r.status = 'success'
   and trim(regexp_replace(trim(lower(r.input_sha256), {_SQL_BLANKS}), '^sha256:', ''), {_SQL_BLANKS}) = trim(regexp_replace(trim(lower(u.input_sha256), {_SQL_BLANKS}), '^sha256:', ''), {_SQL_BLANKS}), false)
 """
 
+P3_RUNS_SQL = f"""
+with u as (select unit_id, profile, trim(coalesce(page_range, ''), {_SQL_BLANKS}) page_range, nullif(trim(regexp_replace(trim(lower(input_sha256), {_SQL_BLANKS}), '^sha256:', ''), {_SQL_BLANKS}), '') digest, listed_at from units),
+t as (select min(listed_at) a, max(listed_at) b from units),
+f as (select unit_id, profile, page_range, digest, min(listed_at) first from u group by all)
+select case when first <= a + (b - a) * (1.0 / 3) then 1 when first <= a + (b - a) * (2.0 / 3) then 2 else 3 end delivery, unit_id, profile, page_range, digest from f, t
+"""
+
 # ---- 5: differences between two copies of data
 
 
@@ -198,7 +238,7 @@ union all select hub_path, 'local' from b where in_l and expected <> local
 """
 
 QUERIES = {
-    "p1_found": p1_found, "p1_report": p1_report, "p2_found": p2_found, "p2_items": p2_items, "p2_sections": p2_sections, "p3_found": p3_found, "p5_found": p5_found, "p5_diffs": p5_diffs,
+    "p1_found": p1_found, "p1_report": p1_report, "p2_found": p2_found, "p2_items": p2_items, "p2_sections": p2_sections, "p3_found": p3_found, "p3_runs": p3_runs, "p5_found": p5_found, "p5_diffs": p5_diffs,
 }
 SQL = {
     "p1_found": P1_SQL,
@@ -207,5 +247,6 @@ SQL = {
     "p2_sections": f"{_P2} select id package_id, i::int reference, j::int content, n::int position, s->>'$' section from secs",
     "p2_items": P2_ITEMS_SQL,
     "p3_found": P3_SQL,
+    "p3_runs": P3_RUNS_SQL,
     "p5_found": P5_SQL,
 }

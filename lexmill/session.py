@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Sequence
 
@@ -17,14 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder checkpoints go to. A cluster names it in spark.checkpoint.dir; only a session
-    without that setting (tests, a notebook) gets a temporary one."""
+    """The folder checkpoints go to. A cluster names it in spark.checkpoint.dir, shared by all its machines; only a local session
+    without that setting (tests, a notebook) gets a temporary one, which is deleted at the end of the process."""
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    wanted = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexmill-ckpt-")
+    wanted = spark.conf.get("spark.checkpoint.dir", None)
+    if not wanted:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+        wanted = tempfile.mkdtemp(prefix="lexmill-ckpt-")
+        atexit.register(shutil.rmtree, wanted, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(wanted)
-    return wanted
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill.operators.diff import Field, diff_copies, diff_fields
-from lexmill.operators.incremental import IntervalLedger, assign_sequence, merge_intervals, pending, subtract_intervals, to_intervals
+from lexmill.operators.incremental import CommitConflict, IntervalLedger, merge_intervals, number_arrivals, pending, subtract_intervals, to_intervals
 from lexmill.operators.references import orphan_references, orphan_report, validity_intervals
 from lexmill.operators.shred import Path, Table, decode, decoded, positions, rebuild, shred, shred_tables
 from lexmill.session import digest_key, entity_key, latest
@@ -155,27 +155,88 @@ def test_pending_keeps_repeated_rows_and_other_columns(spark):
     assert rows(pending(df.limit(0), done)) == []
 
 
-def test_sequence_is_ordered_and_unique(spark):
-    df = assign_sequence(spark.range(100).select((99 - F.col("id")).alias("x")), ["x"])
-    got = [r.x for r in df.orderBy("seq").collect()]
-    assert got == list(range(100)) and df.select("seq").distinct().count() == 100
+def test_arrivals_get_numbers_without_gaps(spark):
+    df, behind = number_arrivals(spark.range(100).repartition(7).select((99 - F.col("id")).alias("x")), 40)
+    assert behind == 140 and sorted(r.seq for r in df.collect()) == list(range(40, 140)) and df.select("x").distinct().count() == 100
+    empty, behind = number_arrivals(spark.range(0), 40)
+    assert behind == 40 and empty.count() == 0
 
 
-def test_ledger_survives_failures_and_takes_late_commits_once(spark, tmp_path):
-    ledger = IntervalLedger(spark, str(tmp_path / "ledger"))
-    log = lambda *ns: spark.createDataFrame([(n, f"r{n}") for n in ns], "seq long, v string")
-    assert ledger.run(log(1, 2, 5), lambda d: d) == 1
+def _ledger(spark, tmp_path):
+    return IntervalLedger(spark, str(tmp_path / "ledger"), ["k"], ["v"])
+
+
+def _versions(spark, *pairs):
+    return spark.createDataFrame([(k, v, f"{k}{v}") for k, v in pairs], "k string, v int, seq_ string")
+
+
+def test_ledger_takes_each_version_once_though_new_keys_sort_first(spark, tmp_path):
+    ledger = _ledger(spark, tmp_path)
+    assert ledger.pending() is None and ledger.run(lambda d: d) is None and ledger.output() is None
+    assert ledger.arrive(_versions(spark, ("b", 1), ("c", 1), ("d", 1), ("d", 1), (None, None))) == 4
+    ledger.run(lambda d: d)
+    # a new key before all others, a changed version, and all the old ones again
+    assert ledger.arrive(_versions(spark, ("a", 1), ("b", 1), ("c", 2), ("c", 1), ("d", 1), (None, None))) == 2
+    assert sorted(r.k for r in ledger.pending().collect()) == ["a", "c"]
+    ledger.run(lambda d: d)
+    assert ledger.pending().count() == 0
+    assert rows(ledger.output().select("k", "v")) == sorted([("a", 1), ("b", 1), ("c", 1), ("c", 2), ("d", 1), (None, None)], key=str)
+    log = ledger.log()
+    assert log.select("seq").distinct().count() == log.count() == 6
+    assert ledger.arrive(_versions(spark)) == 0 and ledger.run(lambda d: d) and ledger.output().count() == 6
+
+
+def test_of_two_runs_at_the_same_time_one_commits(spark, tmp_path):
+    ledger, other = _ledger(spark, tmp_path), _ledger(spark, tmp_path)
+    ledger.arrive(_versions(spark, ("a", 1), ("b", 1)))
+
+    def meanwhile(d):
+        assert other.run(lambda x: x) is not None
+        return d
+
+    with pytest.raises(CommitConflict):
+        ledger.run(meanwhile)
+    assert rows(ledger.output().select("k")) == [("a",), ("b",)] and ledger.pending().count() == 0
+    # new versions that arrive while a run goes on don't stop it
+    ledger.arrive(_versions(spark, ("c", 1)))
+
+    def arrives(d):
+        other.arrive(_versions(spark, ("d", 1)))
+        return d
+
+    ledger.run(arrives)
+    assert rows(ledger.pending().select("k")) == [("d",)]
+    ledger.run(lambda d: d)
+    assert rows(ledger.output().select("k")) == [("a",), ("b",), ("c",), ("d",)]
+
+
+def test_of_two_deliveries_at_the_same_time_one_commits(spark, tmp_path):
+    ledger, other = _ledger(spark, tmp_path), _ledger(spark, tmp_path)
+    seen = ledger.commits()
+    other.arrive(_versions(spark, ("a", 1)))
+    with pytest.raises(CommitConflict):
+        ledger._commit({"kind": "arrivals", "folder": "data/none", "first": 0, "next": 1}, seen)
+    assert ledger.arrive(_versions(spark, ("a", 1), ("b", 1))) == 1
+
+
+def test_ledger_survives_failures_and_takes_late_results_once(spark, tmp_path):
+    ledger = _ledger(spark, tmp_path)
+    ledger.arrive(_versions(spark, ("a", 1), ("b", 1), ("c", 1)))
 
     def broken(d):
         raise RuntimeError("lost")
 
     with pytest.raises(RuntimeError):
-        ledger.run(log(1, 2, 5, 6), broken)
-    assert ledger.runs() == [1]
-    assert rows(ledger.pending(log(1, 2, 3, 5, 6))) == [(3, "r3"), (6, "r6")]
-    assert ledger.run(log(1, 2, 3, 5, 6), lambda d: d) == 2
-    assert ledger.run(log(1, 2, 3, 5, 6), lambda d: d) == 3  # nothing left
-    assert rows(ledger.output()) == [(n, f"r{n}") for n in (1, 2, 3, 5, 6)]
+        ledger.run(broken)
+    assert ledger.output() is None and ledger.pending().count() == 3
+    # b fails at first: its number stays a gap in the middle
+    first = [r.k for r in ledger.log().orderBy("seq").collect()][1]
+    ledger.run(lambda d: d.withColumn("ok", F.col("k") != first), done=lambda out: out.where("ok"))
+    assert rows(ledger.pending().select("k")) == [(first,)]
+    ledger.arrive(_versions(spark, ("e", 1)))
+    ledger.run(lambda d: d.withColumn("ok", F.lit(True)))
+    assert ledger.pending().count() == 0
+    assert rows(ledger.output().where("ok").select("k")) == [("a",), ("b",), ("c",), ("e",)]
 
 
 # ---- 5
