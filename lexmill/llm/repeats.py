@@ -1,24 +1,24 @@
 """Lines and blocks of lines repeated across the documents of one source.
 
-All suffixes of a source's concatenated line identifiers are sorted by a range shuffle: a suffix array over all sources, cut into
-partitions anywhere, also within a hot line. Neighbours' common prefixes give the intervals of equal
-blocks; an interval's documents are counted without sets, because a suffix counts for a block length only if it shares less
-than that with its predecessor among the sorted suffixes of its own document. What the partitions find is added up per block.
+The suffixes of a source's concatenated line identifiers are sorted by prefix doubling: suffixes are ranked by their first line, then by the
+ranks of their first and second 2^k lines, which ranks them by their first 2^(k+1) lines. Equal ranks are the intervals of the suffix array with a common
+prefix of that length. Only intervals that stand in enough documents are ranked on: a block is no more widespread than its lines, so nothing else can be part of a
+repeated block, and the sort ends when no interval is left. The longest repeated block that begins at a line is then found downwards, by halves.
+
+Every step is a join or an aggregation on positions or ranks; no task ever holds a document, a source or the places of a line.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Lines per suffix that are sorted and compared. Longer blocks come out as overlapping blocks of this length, which cover the same lines.
-BLOCK_LINES = 4
+from lexmill.session import cut
+
 MIN_DOCS, MIN_SHARE = 8, 0.1
+#: Pages per group of a document's lines: the lines are numbered within groups, which are then put one behind the other.
+GROUP_PAGES = 64
 
 
 def line_id(text: Column) -> Column:
@@ -27,90 +27,131 @@ def line_id(text: Column) -> Column:
     return F.when(bare != "", F.xxhash64(bare))
 
 
-def suffixes(lines: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
-    """Of `lines` (source, doc, pos, item, line) each line with the following ones of its document, `s0 ... sK`, and `own`: how many
-    leading lines it shares with its predecessor among the document's sorted suffixes (0: none, or it is the first).
+def source_lines(items: DataFrame, doc: Column, source_of: DataFrame, text: Column, pos: list[str], item: str = "item_id", page: Column | None = None) -> DataFrame:
+    """`source, doc, chunk, n, item, line` of the items that have a source and a letter or digit: the n-th such line of a group of pages.
 
-    Neither step gathers a document. Following lines are looked up within groups of pages (`chunk`), which see the first pages of the next one (`edge`). And only
-    suffixes with equal first lines can share lines, so they are sorted per document and first line.
+    `source_of` has `doc` (unique) and `source`. Items with a NULL document or one without source are left out, and so are blank and NULL texts.
+    Repeated rows of an item count once. Other columns may have any name. Without `page`, a document is one group. The result is written to the checkpoint folder, so that the
+    items are read and the identifiers computed once.
     """
-    s = [f"s{k}" for k in range(block_lines)]
-    chunk, edge = (F.col("chunk"), F.col("edge")) if "chunk" in lines.columns else (F.lit(0), F.lit(False))
-    near = F.array_compact(F.array(chunk, F.when(edge & (chunk != 0), chunk - 1)))
-    spread = lines.select("source", "doc", "pos", "item", "line", chunk.alias("_mine"), F.explode(near).alias("_chunk"))
-    order = Window.partitionBy("doc", "_chunk").orderBy("pos", "item")
-    ahead = spread.select("source", "doc", "item", (F.col("_mine") == F.col("_chunk")).alias("_own"), F.col("line").alias("s0"), *[F.lead("line", k).over(order).alias(s[k]) for k in range(1, block_lines)]).where("_own")
-    within = Window.partitionBy("doc", "s0").orderBy(*s[1:], "item")
-    shared, same = F.when(F.row_number().over(within) > 1, 1).otherwise(0), F.row_number().over(within) > 1
-    for c in s[1:]:
-        same = same & F.coalesce(F.lag(c).over(within) == F.col(c), F.lit(False))
-        shared = shared + same.cast("int")
-    return ahead.select("source", "item", *s, shared.alias("own"))
-
-
-def blocks(lines: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE, block_lines: int = BLOCK_LINES) -> DataFrame:
-    """Blocks of 1 to `block_lines` lines in at least `min_docs` documents of a source and `min_share` of its documents: `source, lines, block, docs, source_docs`."""
-    s = [f"s{k}" for k in range(block_lines)]
-    order = ["source", *s, "item"]
-    array = suffixes(lines, block_lines).repartitionByRange(*order).sortWithinPartitions(*order).select("source", "own", *s)
-
-    def intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = b.num_rows
-            if not n:
-                continue
-            own = b.column(1).to_numpy(zero_copy_only=False)
-            codes = b.column(0).dictionary_encode().indices.to_numpy(zero_copy_only=False)
-            same = np.concatenate([[False], codes[1:] == codes[:-1]])  # with the predecessor
-            whole = np.ones(n, bool)  # suffixes that have as many lines
-            for depth in range(1, block_lines + 1):
-                c = b.column(1 + depth)
-                ids = c.fill_null(0).to_numpy(zero_copy_only=False)
-                whole &= np.asarray(c.is_valid())
-                same[1:] &= ids[1:] == ids[:-1]
-                begin = np.flatnonzero(~same)
-                docs = np.add.reduceat((own < depth) & whole, begin)
-                # an interval within the batch is complete; those at its ends may go on in others
-                keep = (docs >= min_docs) | (docs > 0) & ((begin == 0) | (np.append(begin[1:], n) == n))
-                at = pa.array(begin[keep])
-                block = np.stack([b.column(2 + k).take(at).to_numpy(zero_copy_only=False) for k in range(depth)], 1).astype(np.int64).ravel()
-                ends = np.arange(0, depth * len(at) + 1, depth, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.ListArray.from_arrays(pa.array(ends), pa.array(block)), pa.array(docs[keep].astype(np.int64))], names=["source", "block", "docs"])
-
-    found = array.mapInArrow(intervals, "source string, block array<long>, docs long").groupBy("source", "block").agg(F.sum("docs").alias("docs"))
-    sizes = lines.groupBy("source").agg(F.count_distinct("doc").alias("source_docs"))
-    wide = found.where(F.col("docs") >= min_docs).join(sizes, "source")
-    return wide.where(F.col("docs") / F.col("source_docs") >= min_share).select("source", F.size("block").alias("lines"), "block", "docs", "source_docs")
-
-
-def repeated_items(lines: DataFrame, found: DataFrame, min_lines: int = 1) -> DataFrame:
-    """The `item`s of `lines` that are part of a found block of at least `min_lines` lines; each once."""
-    if min_lines == 1:
-        single = found.where("lines = 1").select(F.col("source").alias("_s"), F.col("block")[0].alias("_l"))
-        return lines.join(single, (F.col("source") == F.col("_s")) & (F.col("line") == F.col("_l")), "left_semi").select("item").distinct()
-    order = Window.partitionBy("doc").orderBy("pos", "item")
-    near = [F.col("line"), *[F.lead("line", k).over(order) for k in range(1, min_lines)]]
-    begun = lines.select("source", "doc", F.array("item", *[F.lead("item", k).over(order) for k in range(1, min_lines)]).alias("items"), F.array(*near).alias("near"))
-    wanted = found.where(F.col("lines") == min_lines).select(F.col("source").alias("_s"), "block")
-    return begun.join(wanted, (F.col("source") == F.col("_s")) & (F.col("near") == F.col("block")), "left_semi").select(F.explode("items").alias("item")).distinct()
+    chunk = F.lit(0) if page is None else F.floor(F.coalesce(page, F.lit(0)) / GROUP_PAGES).cast("int")
+    mine = items.select(doc.alias("doc"), F.struct(*pos).alias("pos"), F.col(item).alias("item"), line_id(text).alias("line"), chunk.alias("chunk")).where("doc is not null and line is not null")
+    known = source_of.where("doc is not null and source is not null").select(F.col("doc").alias("_d"), "source")
+    order = Window.partitionBy("doc", "chunk").orderBy("pos", "item", "line")
+    again = F.coalesce(F.struct("pos", "item", "line") == F.lag(F.struct("pos", "item", "line")).over(order), F.lit(False))
+    lines = mine.join(known, F.col("doc") == F.col("_d")).withColumn("_again", again)
+    lines = lines.withColumn("n", F.sum((~F.col("_again")).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    return cut(lines.where("not _again").select("source", "doc", "chunk", "n", "item", "line"))
 
 
-#: Pages per group of a document's lines, and pages at a group's begin that the one before it sees.
-GROUP_PAGES, SEEN_AFTER = 64, 2
+def widespread_lines(lines: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
+    """`source, line, need, source_docs`: the lines in at least `need` documents of their source, which is at least `min_docs` and `min_share` of its documents."""
+    sizes = lines.groupBy(F.col("source").alias("_s")).agg(F.count_distinct("doc").alias("source_docs"))
+    docs = lines.select("source", "line", "doc").distinct().groupBy("source", "line").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    # the share is compared as it is stated, so that rounding can't decide
+    wide = docs.join(sizes, F.col("source") == F.col("_s")).where(F.col("docs") >= min_share * F.col("source_docs"))
+    need = F.greatest(F.lit(min_docs), F.ceil(min_share * F.col("source_docs") - 1e-9)).cast("long")
+    return wide.select("source", "line", need.alias("need"), "source_docs")
 
 
-def source_lines(items: DataFrame, doc: Column, source_of: DataFrame, text: Column, pos: list[str], item: str = "item_id", page: Column | None = None) -> DataFrame:
-    """`source, doc, pos, item, line, chunk, edge` of the items that have a source and a letter or digit.
+def _positions(lines: DataFrame) -> Column:
+    """Of lines joined with `_offsets`, the position in the document."""
+    return (F.col("n") + F.coalesce("_offset", F.lit(0))).alias("at")
 
-    `source_of` has `doc` (unique) and `source`. Items with a NULL document or one without source are left out, and so are blank and NULL texts.
-    Repeated rows are one line of the document each, but one document. Other columns may have any name. With `page`, long documents are read in
-    groups of pages; blocks over a border of groups are seen as far as two pages beyond it.
+
+def _offsets(lines: DataFrame) -> DataFrame:
+    """`_d, _c, _offset` of the groups of pages that stand behind other lines of their document; there is one row per group."""
+    sizes = lines.groupBy("doc", "chunk").agg(F.count("*").alias("size"))
+    before = F.sum("size").over(Window.partitionBy("doc").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
+    return sizes.select(F.col("doc").alias("_d"), F.col("chunk").alias("_c"), before.alias("_offset")).where("_offset > 0")
+
+
+def _ranked(pairs: DataFrame) -> DataFrame:
+    """Distinct rows with their `rank` in sort order; written, because numbers must not change."""
+    keys = pairs.columns
+    return cut(pairs.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("rank", F.monotonically_increasing_id()))
+
+
+def _in_enough_docs(tests: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct `keys` that stand in `need` documents."""
+    return tests.select(*keys, "doc", "need").distinct().groupBy(*keys).agg(F.count("*").alias("_docs"), F.max("need").alias("_need")).where("_docs >= _need").select(*keys)
+
+
+def occurrences(lines: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
+    """`source, doc, at, item, lines, block, source_docs`: for each line that begins a repeated block the length of the longest one, and an identifier of its content.
+
+    `at` is the line's position in its document. A block is repeated if it stands in at least `min_docs` documents of the source and `min_share` of them.
+    Empty inputs give no rows.
     """
-    at = F.lit(0) if page is None else F.coalesce(page, F.lit(0))
-    group, edge = F.floor(at / GROUP_PAGES).cast("int"), F.pmod(at, F.lit(GROUP_PAGES)) < SEEN_AFTER
-    mine = items.select(doc.alias("doc"), F.struct(*pos).alias("pos"), F.col(item).alias("item"), line_id(text).alias("line"), group.alias("chunk"), edge.alias("edge")).where("doc is not null and line is not null")
-    known = source_of.where("doc is not null and source is not null").select(F.col("doc").alias("_d"), "source")
-    return mine.join(known, F.col("doc") == F.col("_d")).select("source", "doc", "pos", "item", "line", "chunk", "edge")
+    wide = widespread_lines(lines, min_docs, min_share)
+    first = _ranked(wide.select("source", "line"))
+    named = wide.join(first, ["source", "line"]).select(F.col("source").alias("_s"), F.col("line").alias("_l"), "need", "source_docs", "rank")
+    here = lines.join(named, (F.col("source") == F.col("_s")) & (F.col("line") == F.col("_l")))
+    here = here.join(_offsets(lines), (F.col("doc") == F.col("_d")) & (F.col("chunk") == F.col("_c")), "left")
+    begun = cut(here.select("source", "doc", _positions(here), "item", "need", "source_docs", "rank"))
+
+    # upwards: suffixes ranked by their first 2^k lines, as far as those are repeated
+    levels, halves = [begun.select("doc", "at", "need", "rank")], []
+    while not levels[-1].isEmpty():
+        k = len(levels) - 1
+        ahead = levels[k].select(F.col("doc").alias("_d"), (F.col("at") - (1 << k)).alias("_at"), F.col("rank").alias("right"))
+        pairs = levels[k].join(ahead, (F.col("doc") == F.col("_d")) & (F.col("at") == F.col("_at"))).select("doc", "at", "need", F.col("rank").alias("left"), "right")
+        halves.append(_ranked(_in_enough_docs(pairs, ["left", "right"])))
+        levels.append(cut(pairs.join(halves[k], ["left", "right"]).select("doc", "at", "need", "rank")))
+    levels.pop()
+
+    # downwards: a block is lengthened by 2^k lines if the longer one is repeated: it stands in enough documents at places of this length, or begins a block found longer (`implied`)
+    state = begun.select("source", "doc", "at", "item", "need", "source_docs", F.lit(0).cast("long").alias("lines"), F.lit(0).cast("long").alias("block"))
+    implied: DataFrame | None = None
+
+    def joined(k: int, rank: str) -> Column:
+        return F.xxhash64(F.lit(k), F.col("block"), F.col(rank))
+
+    for k in reversed(range(len(levels))):
+        ranks = levels[k].select(F.col("doc").alias("_d"), F.col("at").alias("_at"), "rank")
+        tests = state.join(ranks, (F.col("doc") == F.col("_d")) & (F.col("at") + F.col("lines") == F.col("_at")), "left").drop("_d", "_at")
+        tried = tests.where("rank is not null")
+        good = _in_enough_docs(tried.where("lines > 0"), ["block", "rank"]).unionByName(tried.where("lines = 0").select("block", "rank").distinct())
+        if implied is not None:
+            good = good.unionByName(implied).distinct()
+        good = cut(good)
+        known = good.select(F.col("block").alias("_b"), F.col("rank").alias("_r"), joined(k, "rank").alias("_longer"))
+        found = F.col("_longer").isNotNull()
+        grown = tests.join(known, (F.col("block") == F.col("_b")) & (F.col("rank") == F.col("_r")), "left")
+        state = cut(grown.select("source", "doc", "at", "item", "need", "source_docs", (F.col("lines") + F.when(found, 1 << k).otherwise(0)).alias("lines"), F.coalesce("_longer", "block").alias("block")))
+        if k:
+            # what begins a repeated block is repeated: its first half, and that with the first half of the second
+            parts = good.join(halves[k - 1], "rank").select("block", "left", "right")
+            first_half = parts.select("block", F.col("left").alias("rank"))
+            implied = first_half.unionByName(parts.select(joined(k - 1, "left").alias("block"), F.col("right").alias("rank"))).distinct()
+            # only where a place may still be lengthened from
+            live = state.select("block").union(first_half.select(joined(k - 1, "rank"))).distinct()
+            implied = cut(implied.join(live, "block", "left_semi"))
+    return state.select("source", "doc", "at", "item", "lines", "block", "source_docs")
+
+
+def maximal(found: DataFrame) -> DataFrame:
+    """The occurrences that are part of no longer repeated block: the line before begins none that covers them."""
+    before = found.select(F.col("doc").alias("_d"), (F.col("at") + 1).alias("_at"), F.col("lines").alias("_before"))
+    alone = found.join(before, (F.col("doc") == F.col("_d")) & (F.col("at") == F.col("_at")), "left")
+    return alone.where(F.col("_before").isNull() | (F.col("_before") <= F.col("lines"))).drop("_d", "_at", "_before")
+
+
+def blocks(found: DataFrame) -> DataFrame:
+    """`source, lines, first_item, places, docs, source_docs`: blocks of repeated lines, with the places and documents where they stand in no longer repeated block, and the least
+    item that begins one there."""
+    per_doc = maximal(found).groupBy("source", "lines", "block", "doc").agg(F.count("*").alias("n"), F.min("item").alias("i"), F.max("source_docs").alias("s"))
+    whole = per_doc.groupBy("source", "lines", "block").agg(F.min("i").alias("first_item"), F.sum("n").alias("places"), F.count("*").alias("docs"), F.max("s").alias("source_docs"))
+    return whole.drop("block")
+
+
+def repeated_items(found: DataFrame, min_lines: int = 1) -> DataFrame:
+    """The `item`s of the lines that are part of a repeated block of at least `min_lines` lines; each once."""
+    if min_lines == 1:
+        return found.select("item").distinct()  # such a line begins a block, too
+    # a line is part of one if a block begins at most min_lines - 1 lines before it
+    covered = found.where(F.col("lines") >= min_lines).select(F.col("doc").alias("_d"), F.explode(F.transform(F.sequence(F.lit(0), F.lit(min_lines - 1)), lambda k: F.col("at") + k)).alias("_at"))
+    return found.join(covered, (F.col("doc") == F.col("_d")) & (F.col("at") == F.col("_at")), "left_semi").select("item").distinct()
 
 
 def strip_items(items: DataFrame, found: DataFrame, doc: Column, text: Column, pos: list[str], item: str = "item_id") -> DataFrame:

@@ -128,57 +128,77 @@ def test_whole_table_is_packed(spark):
 # ---- 6
 
 
-def _lines(spark, data):
-    """data: (source, doc, lines)"""
-    flat = [(s, d, n, i, t) for i, (s, d, n, t) in enumerate((s, d, n, t) for s, d, ts in data for n, t in enumerate(ts))]
-    df = spark.createDataFrame(flat, "source string, doc string, pos int, item long, text string")
-    return df.withColumn("line", repeats.line_id(F.col("text"))).where("line is not null and source is not null"), {i: (s, d, t) for s, d, _, i, t in flat}
-
-
-def test_repeated_lines_against_counting(spark):
+def _lines(spark, data, page=None):
+    """data: (source, doc, lines); `page` gives a line's page from its place"""
+    flat = [(s, d, n, i, t, page(n) if page else 0) for i, (s, d, n, t) in enumerate((s, d, n, t) for s, d, ts in data for n, t in enumerate(ts))]
+    items = spark.createDataFrame(flat, "_s string, doc string, pos int, item_id long, text string, page int")
+    of = spark.createDataFrame(sorted({(d, s) for s, d, _ in data}), "doc string, source string")
+    return repeats.source_lines(items, F.col("doc"), of, F.col("text"), ["pos"], page=F.col("page")), {i: (s, d, t) for s, d, _, i, t, _ in flat}
+
+
+def _bare(text):
+    return "".join(c for c in text.lower() if c.isalnum())
+
+
+def _longest(data, least, share):
+    """Brute force: by place of each line the longest repeated block that begins there."""
+    docs = defaultdict(set)
+    texts = {(s, d): [_bare(t) for t in ts if _bare(t)] for s, d, ts in data}
+    for (s, d), ts in texts.items():
+        for i in range(len(ts)):
+            for j in range(i + 1, len(ts) + 1):
+                docs[s, tuple(ts[i:j])].add(d)
+    every = Counter(s for (s, _), ts in texts.items() if ts)
+    out = {}
+    for (s, d), ts in texts.items():
+        for i in range(len(ts)):
+            n = max((j - i for j in range(i + 1, len(ts) + 1) if len(docs[s, tuple(ts[i:j])]) >= max(least, share * every[s])), default=0)
+            if n:
+                out[d, i] = (n, tuple(ts[i : i + n]))
+    return out
+
+
+def test_repeated_blocks_against_brute_force(spark):
     rng = random.Random(4)
-    data = [(rng.choice(["a", "a", "b"]), f"d{i}", [rng.choice(["Share!", "share", "x1", "Note.", "..."]) if rng.random() < 0.4 else f"line {rng.randint(0, 400)}" for _ in range(rng.randint(0, 12))]) for i in range(120)]
-    lines, items = _lines(spark, data)
-    for least, share in ((2, 0.0), (5, 0.05), (8, 0.3)):
-        docs, every = defaultdict(set), defaultdict(set)
-        key = lambda t: "".join(c for c in t.lower() if c.isalnum())
-        for s, d, t in items.values():
-            if key(t):
-                docs[s, key(t)].add(d)
-                every[s].add(d)
-        want = {i for i, (s, d, t) in items.items() if key(t) and len(docs[s, key(t)]) >= max(least, share * len(every[s]))}
-        found = repeats.blocks(lines, least, share, 3)
-        assert {r.item for r in repeats.repeated_items(lines, found).collect()} == want
-
-
-def test_blocks_of_several_lines_count_documents_not_occurrences(spark):
-    block = ["Head", "By the staff", "All rights"]
-    data = [("s", f"d{i}", [f"own {i}", *block, f"more {i}"] + (block if i == 0 else [])) for i in range(6)] + [("s", "e", ["Head"] * 20), ("t", "f", ["z"])]
+    phrases = [["Share!", "Note."], ["a", "b", "c", "d", "e", "f", "g"], ["c", "d", "e"], ["x1"] * 5, ["Note.", "a", "b", "c"]]
+    data = []
+    for i in range(40):
+        ts = []
+        for _ in range(rng.randint(0, 5)):
+            ts += rng.choice(phrases) if rng.random() < 0.7 else [f"own {rng.randint(0, 60)}", "..."]
+        data.append((rng.choice("aab"), f"d{i}", ts))
+    lines, _ = _lines(spark, data, lambda n: n * 30)
+    for least, share in ((2, 0.0), (5, 0.05), (3, 0.3)):
+        want = _longest(data, least, share)
+        found = repeats.occurrences(lines, least, share)
+        got = {(r.doc, r["at"]): r for r in found.collect()}
+        assert {k: r.lines for k, r in got.items()} == {k: n for k, (n, _) in want.items()}
+        # the same content has the same identifier, other content another one
+        names = {(got[k].source, block): got[k].block for k, (_, block) in want.items()}
+        assert all(got[k].block == names[got[k].source, block] for k, (_, block) in want.items()) and len(set(names.values())) == len(names)
+        alone = [(k, v) for k, v in want.items() if want.get((k[0], k[1] - 1), (0,))[0] <= v[0]]
+        per = Counter((got[k].source, block) for k, (_, block) in alone)
+        assert sorted((r.lines, r.places) for r in repeats.blocks(found).collect()) == sorted((len(block), n) for (_, block), n in per.items())
+        for least_lines in (1, 3):
+            covered = {(d, i + j) for (d, i), (n, _) in want.items() if n >= least_lines for j in range(n)}
+            assert repeats.repeated_items(found, least_lines).count() == len(covered)
+
+
+def test_a_long_block_comes_out_whole(spark):
+    block = [f"Line {i} of the notice" for i in range(20)]
+    data = [("s", f"d{i}", [f"own {i}", *block, f"more {i}"] + (block[:7] if i == 0 else [])) for i in range(30)] + [("s", "e", ["Line 3 of the notice"] * 9), ("t", "f", ["z"])]
     lines, _ = _lines(spark, data)
-    got = {tuple(r.block): (r.lines, r.docs, r.source_docs) for r in repeats.blocks(lines, 6, 0.0, 4).collect()}
-    three = [v for v in got.values() if v[0] == 3]
-    assert three == [(3, 6, 7)] and max(v[0] for v in got.values()) == 3
-    singles = sorted(v for v in got.values() if v[0] == 1)
-    assert singles == [(1, 6, 7), (1, 6, 7), (1, 7, 7)]
-    pairs = repeats.repeated_items(lines, repeats.blocks(lines, 6, 0.0, 4), min_lines=3).count()
-    assert pairs == 6 * 3 + 3
-    assert repeats.blocks(lines.limit(0)).count() == 0
-
-
-def test_blocks_go_over_the_borders_of_page_groups(spark):
-    n = repeats.GROUP_PAGES
-    items = spark.createDataFrame([(100 * d + p, f"d{d}", p, t) for d in range(3) for p, t in ((n - 1, "one"), (n, "two"), (n + 1, "three"), (2 * n, f"own {d}"))], "item_id long, doc string, page int, text string")
-    of = spark.createDataFrame([(f"d{d}", "s") for d in range(3)], "doc string, source string")
-    lines = repeats.source_lines(items, F.col("doc"), of, F.col("text"), ["page"], page=F.col("page"))
-    got = repeats.blocks(lines, 3, 0.5, 4).collect()
-    assert sorted((r.lines, r.docs, r.source_docs) for r in got) == [(1, 3, 3)] * 3 + [(2, 3, 3)] * 2 + [(3, 3, 3)]
+    got = rows(repeats.blocks(repeats.occurrences(lines, 8, 0.1)).select("source", "lines", "places", "docs", "source_docs"))
+    assert got == [("s", 1, 9, 1, 31), ("s", 20, 30, 30, 31), ("s", 7, 1, 1, 31)]
+    assert repeats.repeated_items(repeats.occurrences(lines), 2).count() == 30 * 20 + 7
+    assert repeats.occurrences(lines.limit(0)).count() == 0
 
 
 def test_source_lines_and_stripping(spark):
     items = spark.createDataFrame([(1, "G1", 1, "keep", 0), (2, "g1 ", 2, "Drop", 0), (2, "g1 ", 2, "Drop", 0), (3, None, 1, "x", 0), (4, "g2", 1, None, 0), (5, "g3", 1, "y", 0)], "item_id long, g string, n int, text string, source int")
     of = spark.createDataFrame([("g1", "s"), ("g2", "s"), ("g3", None)], "doc string, source string")
     lines = repeats.source_lines(items, F.lower(F.trim("g")), of, F.col("text"), ["n"])
-    assert sorted(r.item for r in lines.collect()) == [1, 2, 2]
+    assert sorted(r.item for r in lines.collect()) == [1, 2]
     found = spark.createDataFrame([(2,)], "item long")
     assert ("g1", "keep", 2) in rows(repeats.strip_items(items, found, F.lower(F.trim("g")), F.col("text"), ["n"]))
 
@@ -372,7 +392,9 @@ def test_found_lines_equal_their_sql(spark):
     con = duckdb.connect()
     for t in ("granules", "page_items"):
         con.sql(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
-    assert {r.item_id for r in queries.p6_found(spark, DATA).collect()} == {r[0] for r in con.sql(queries.SQL["p6_found"]).fetchall()}
+    for name in ("p6_found", "p6_blocks", "p6_clean"):
+        df, rel = queries.QUERIES[name](spark, DATA), con.sql(queries.SQL[name])
+        assert rows(df.select(*sorted(df.columns))) == sorted((tuple(r[rel.columns.index(c)] for c in sorted(rel.columns)) for r in rel.fetchall()), key=str)
 
 
 @pytest.mark.parametrize("name", ["p4_found", "p4_paragraphs", "p6_blocks", "p6_clean", "p9_found", "p9_langs"])
