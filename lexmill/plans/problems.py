@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmill.operators.diff import Field, diff_copies, diff_fields
 from lexmill.operators.incremental import IntervalLedger, number_arrivals, pending, ranges_of, to_intervals
-from lexmill.operators.references import orphan_references, orphan_report, validity_intervals
+from lexmill.operators.references import hot_keys, orphan_references, orphan_report, validity_intervals
 from lexmill.operators.shred import Table, shred_tables
 from lexmill.session import BLANKS, blank_trim, cut, digest_key, ensure_checkpoint_dir, entity_key, latest, table
 
@@ -23,8 +23,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
         F.lit("granules").alias("child_table"), F.col("granule_id").alias("child_key"), entity_key(F.col("package_id")).alias("ref_key"), F.col("created_at").alias("child_created")
     )
     cuts = slices.select(F.lit("slices").alias("child_table"), F.col("slice_id").cast("string").alias("child_key"), entity_key(F.col("granule_id")).alias("ref_key"), F.col("created_at").alias("child_created"))
-    to_packages = orphan_references(refs, validity_intervals(packages, entity_key(F.col("package_id")), "updated_at", "created_at", "deleted_at"))
-    to_granules = orphan_references(cuts, validity_intervals(granules, entity_key(F.col("granule_id")), "updated_at", "created_at", "deleted_at"))
+    to_packages = orphan_references(refs, validity_intervals(packages, entity_key(F.col("package_id")), "updated_at", "created_at", "deleted_at"), hot_keys(granules, entity_key(F.col("package_id"))))
+    to_granules = orphan_references(cuts, validity_intervals(granules, entity_key(F.col("granule_id")), "updated_at", "created_at", "deleted_at"), hot_keys(slices, entity_key(F.col("granule_id"))))
     return to_packages.unionByName(to_granules)
 
 

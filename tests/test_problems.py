@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmill.operators.diff import Field, diff_copies, diff_fields
 from lexmill.operators.incremental import CommitConflict, IntervalLedger, merge_intervals, number_arrivals, pending, subtract_intervals, to_intervals
-from lexmill.operators.references import orphan_references, orphan_report, validity_intervals
+from lexmill.operators.references import hot_keys, orphan_references, orphan_report, validity_intervals
 from lexmill.operators.shred import Path, Table, decode, decoded, positions, rebuild, shred, shred_tables
 from lexmill.session import digest_key, entity_key, latest
 
@@ -73,6 +73,11 @@ def test_orphans_with_a_hot_parent_against_brute_force(spark):
         if reason:
             want.add(("t", i, reason, "2025-01"))
     assert set(rows(_orphans(spark, refs, parents))) == want
+    frame = spark.createDataFrame(refs, "child_table string, child_key string, ref_key string, child_created timestamp, a string, b int")
+    hot = hot_keys(frame, F.col("ref_key"), 20)
+    assert max(hot, key=hot.get) == "p1" and hot["p1"] == sum(r[2] == "p1" for r in refs) // 20 + 1
+    whole = validity_intervals(spark.createDataFrame(parents, "id string, updated timestamp, created timestamp, deleted timestamp, x string"), F.lower("id"), "updated", "created", "deleted")
+    assert set(rows(orphan_references(frame, whole, hot))) == want
 
 
 # ---- 2
