@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import squash, strip
 
+# Forms of granule, front and back matter, and law ids.
 _GRANULE = r"^STATUTE-(\d+)-Pg([A-Za-z]*)(\d+)(?:-(\d+))?$"
 _MATTER = r"^STATUTE-(\d+)-(FrontMatter|BackMatter)-(\d+)-Pg(.+)$"
 _PLAW = r"^PLAW-(\d+)(publ|pvtl)(\d+)$"
@@ -177,6 +178,7 @@ def ordinal(c: Column) -> Column:
     return F.concat(c.cast("string"), end)
 
 
+# Headings in capitals before a dash, and of sections.
 _DASH_HEADING = r"(?s)^([A-Z][A-Z0-9 ,;'’\-]{2,}?)\.\s*[-—–]+\s*(.*)$"
 _SECTION_HEADING = r"(?s)^([A-Z0-9][A-Z0-9 ,;:'’\-()]{3,}?\.)(?:\s+(.*))?$"
 
@@ -196,13 +198,18 @@ def split_section_heading(c: Column) -> Column:
     return F.struct(F.when(hit, strip(F.regexp_extract(c, _SECTION_HEADING, 1))).alias("heading"), F.when(hit, strip(F.regexp_extract(c, _SECTION_HEADING, 2))).otherwise(c).alias("text"))
 
 
+#: What a level's number looks like in its text, and the characters a number's value has (fixed values).
+NUMBER_FORMS = (r"(?i)^(?:SEC(?:TION)?\.?\s*)?(\d+[A-Za-z]?)\.?$", r"^\(([A-Za-z0-9]{1,4})\)$")
+NUMBER_CHARACTERS = "A-Za-z0-9.\\-"
+
+
 def num_value(value: Column, text: Column) -> Column:
     """Number of a level: its value attribute without odd characters, else what its text says."""
     t = squash(text)
-    said = F.coalesce(group(t, r"(?i)^(?:SEC(?:TION)?\.?\s*)?(\d+[A-Za-z]?)\.?$"), group(t, r"^\(([A-Za-z0-9]{1,4})\)$"))
-    return F.when(value != "", F.regexp_replace(strip(value), r"[^A-Za-z0-9.\-]", "")).otherwise(said)
+    return F.when(value != "", F.regexp_replace(strip(value), f"[^{NUMBER_CHARACTERS}]", "")).otherwise(F.coalesce(*[group(t, p) for p in NUMBER_FORMS]))
 
 
+#: Roman numerals of levels (fixed values).
 _ROMAN_LEVEL = r"^(i{1,3}|iv|v|vi{0,3}|ix|x{1,3}|xi{1,3}|xiv|xv)$"
 
 

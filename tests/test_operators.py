@@ -307,12 +307,18 @@ def test_adjudication(spark):
     a, b = [line("one"), line("two"), line("three")], [line("One"), line("2"), line("three"), line("four")]
     runs = metrics.differing_runs(a, b)
     assert [(r["run"], r["op"]) for r in runs] == [(1, "replace"), (2, "insert")]
-    out = metrics.apply_resolutions(a, runs, [{"run": 1, "lines": [line("too")], "reason": "image"}])
-    assert [x["text"] for x in out["lines"]] == ["one", "too", "three"] and out["unresolved"] == 1
     kind = "array<struct<role:string,text:string>>"
-    df = spark.createDataFrame([(a, b, [(1, [("body", "too")], "image")])], f"a {kind}, b {kind}, r array<struct<run:int,lines:{kind},reason:string>>")
-    got = df.select(metrics.transcription_runs(F.col("a"), F.col("b")).alias("runs"), "a", "b", "r").select(metrics.merge_transcriptions(F.col("a"), F.col("runs"), F.col("r")).alias("m"), metrics.agreed_lines(F.col("a"), F.col("b")).alias("s"), metrics.runs_text(F.col("runs")).alias("t")).first()
-    assert [x.text for x in got.m.lines] == ["one", "too", "three"] and [x.text for x in got.s] == ["one", "three"] and got.t.startswith("Run 1:\n    A2 [body] two\n    B2 [body] 2")
+    pages = [(1, a, b, [(1, [("body", "too")], "image")]), (2, a, b, None), (3, a, a, [(1, [], "x")]), (4, None, b, None), (5, [], b, [(1, [("body", "n")], "old"), (1, [("body", "m")], "new")]), (None, a, b[:1], [(2, [], "gone")])]
+    df = spark.createDataFrame(pages, f"k int, a {kind}, b {kind}, r array<struct<run:int,lines:{kind},reason:string>>")
+    got = df.withColumn("runs", metrics.transcription_runs(F.col("a"), F.col("b"))).withColumn("s", metrics.agreed_lines(F.col("a"), F.col("b"))).withColumn("t", metrics.runs_text(F.col("runs")))
+    one = got.where("k = 1").first()
+    assert [x.text for x in one.s] == ["one", "three"] and one.t.startswith("Run 1:\n    A2 [body] two\n    B2 [body] 2")
+    m = {r.k: r for r in metrics.merge_transcriptions(got, ["k"], resolutions="r").collect()}
+    assert len(m) == len(pages)
+    texts = {k: None if r.lines is None else [x.text for x in r.lines] for k, r in m.items()}
+    assert texts == {1: ["one", "too", "three"], 2: ["one", "two", "three"], 3: ["one", "two", "three"], 4: None, 5: ["m"], None: ["one", "two", "three"]}
+    assert {k: r.unresolved for k, r in m.items()} == {1: 1, 2: 2, 3: 0, 4: 1, 5: 0, None: 1}
+    assert [tuple(x) for x in m[1].disagreements] == [(1, "two", "2", "too", "image"), (2, "", "four", "", metrics.UNRESOLVED)]
 
 
 # ---- splitting
@@ -354,21 +360,53 @@ def test_layout_items_follow_the_body_tree(spark):
     assert layout.page_texts(spark.createDataFrame([tuple(r) for r in got], "granule_id string, pos int, page int, label string, text string, l double, t double, r double, b double, cells array<array<string>>, width double, height double, kind string, rank int")).first().body == "first second"
 
 
-def test_start_and_end_of_a_document_on_shared_pages():
-    who = build.Identity(granule_id="STATUTE-10-Pg3-2", package_id="STATUTE-10", volume=10, start_page=3)
-    d = build.ingest(_doc("CHAP. 1.-An Act one.", "Be it enacted a.", "Approved, March 2, 1853.", "CHAP. 2.-An Act two.", "Be it enacted b.", "SEC. 2. Whoever.", "Approved, March 3, 1853.", "CHAP. 3.-An Act three."), who)
-    assert (d.rule, d.before[0], d.after, d.chapter) == ("marker", "CHAP. 1.-An Act one.", ["CHAP. 3.-An Act three."], "2")
-    assert markers.ends_document("Arprrovep, March 3, 1853.") and not markers.ends_document("He came, March 3, 1853.") and markers.damaged_chapter("Cuar. CXXII.- An Act for")
-    assert not markers.starts_document("CHAPTER 1-GENERAL PROVISIONS") and markers.starts_document("[CHAPTER 486]")
-    assert build.find_start(_doc("x", "Public Law 81-7", "y"), build.Identity(law_number=7))[1] == "law-number"
-    assert build.find_start(_doc("some tail", "An Act for the relief of Jane Roe and others"), build.Identity(title="An Act for the relief of Jane Roe and others"))[:2] == (1, "title")
-    assert build.find_start(_doc("words", "Approved, March 3, 1853.", "then text"), build.Identity(granule_id="STATUTE-1-Pg3"))[1] == "end-marker"
+def _classified(spark, *docs):
+    """docs: granule, items"""
+    flat = [(g, x["page"], x["rank"], x["kind"], x["label"], x["text"], x["t"], x["cells"]) for g, items in docs for x in items]
+    return spark.createDataFrame(flat, "granule_id string, page int, rank int, kind string, label string, text string, t double, cells array<array<string>>")
+
+
+def _identities(spark, *rows):
+    kind = "doc_type string, congress int, law_number int, is_private boolean, volume int, start_page int, granule_id string, package_id string, date_issued string, title string"
+    full = [(g, ("pLaw", w.get("congress"), w.get("law_number"), False, w.get("volume"), w.get("start_page"), g, w.get("package_id"), None, w.get("title"))) for g, w in rows]
+    return spark.createDataFrame(full, f"granule_id string, identity struct<{', '.join(x.replace(' ', ':') for x in kind.split(', '))}>")
+
+
+def test_signs_of_lines(spark):
+    want = {
+        "Arprrovep, March 3, 1853.": (False, True, False), "He came, March 3, 1853.": (False, False, False), "Agreed  to March 3, 1853": (False, True, False), "Arprrovep, Marsh 3, 1853.": (False, False, False),
+        "Cuar. CXXII.- An Act for": (True, False, True), "XXII. - An Act for": (True, False, True), "Zzzzz. CXXII.- An Act for": (False, False, False), "CHAPTER 1-GENERAL PROVISIONS": (False, False, False), "[CHAPTER 486]": (True, False, True), "CHAP. 5.-An Act to": (True, False, True),
+        "Whereas it is": (False, False, True), "SEC. 2. Whoever": (False, False, True), "AN ACT": (True, False, True), "Public Law 81-7": (True, False, True), "": (False, False, False), None: (False, False, False),
+    }
+    got = markers.line_signs(spark.createDataFrame([(t,) for t in want], "text string")).collect()
+    assert {r.text: (r.starts, r.ends, r.signals) for r in got} == want
+
+
+def test_start_and_end_of_a_document_on_shared_pages(spark):
+    cases = {
+        "STATUTE-10-Pg3-2": ({}, ["CHAP. 1.-An Act one.", "Be it enacted a.", "Approved, March 2, 1853.", "CHAP. 2.-An Act two.", "Be it enacted b.", "SEC. 2. Whoever.", "Approved, March 3, 1853.", "CHAP. 3.-An Act three."], "marker", 3, 7),
+        "STATUTE-10-Pg4-5": ({}, ["x", "CHAP. 1.-An Act one.", "Be it enacted a."], "marker", 1, 3),
+        "STATUTE-10-Pg5": ({"law_number": 7}, ["x", "Public Law 81-7", "y"], "law-number", 1, 3),
+        "STATUTE-10-Pg6": ({"title": "An Act for the relief of Jane Roe and others"}, ["some tail", "AN ACT", "An Act for the relief of Jane Roe and others", "Whereas a", "CHAP. 9.-An Act"], "title", 1, 4),
+        "STATUTE-10-Pg7": ({}, ["words", "Approved, March 3, 1853.", "then text"], "end-marker", 2, 3),
+        "STATUTE-10-Pg8": ({}, ["words", "more words"], "none", 0, 2),
+    }
+    docs = _classified(spark, *[(g, _doc(*texts)) for g, (_, texts, *_) in cases.items()], ("PLAW-1publ1", _doc("CHAP. 1.-An Act one.", "Be it enacted a.", "Approved, March 2, 1853.", "more")), ("other", _doc("a")), (None, _doc("b")))
+    who = _identities(spark, *[(g, {"package_id": "STATUTE-10", **w}) for g, (w, *_) in cases.items()], ("PLAW-1publ1", {"package_id": "PLAW-1publ1"}))
+    signed = build.with_roles(docs, who)
+    for g, (_, texts, rule, start, stop) in cases.items():
+        found = sorted((r["rank"], r.role, r._start_rule_) for r in signed.where(F.col("granule_id") == g).collect())
+        assert [x[1] for x in found] == ["before"] * start + ["line"] * (stop - start) + ["after"] * (len(texts) - stop) and {x[2] for x in found} == {rule}, g
+    built = {r.granule_id: r for r in build.build_documents(docs, who).collect()}
+    assert len(built) == len(cases) + 3 and built["STATUTE-10-Pg3-2"].trailing_items == 1 and built["STATUTE-10-Pg3-2"].preface_items == 3 and built["PLAW-1publ1"].trailing_items == 0
+    told = lambda g: " | ".join(built[g].warnings)
+    assert "document ends on page 1" in told("STATUTE-10-Pg3-2") and "1 items behind" in told("STATUTE-10-Pg3-2") and "document 5 on its first page, but 1 marker" in told("STATUTE-10-Pg4-5")
+    assert "next document starts on page 1" in told("STATUTE-10-Pg6") and "not recognized on page 1 (rule none)" in told("STATUTE-10-Pg8")
 
 
 def test_levels_ids_and_sidenotes(spark):
-    who = build.Identity(congress=118, law_number=5, volume=137, start_page=10)
     items = [*_doc("SECTION 1. SHORT TITLE. This.", "(a) IN GENERAL.-For", "(1) one", "(A) x", "(i) y", "(b) two", "continued", "SEC. 1. Quoted."), *_doc("a side note", kind="sidenote"), *_doc("118 STAT. 3", kind="header"), {**_doc("t")[0], "cells": [["a", "b"]], "rank": 99}]
-    out = build.build_one(items, who)
+    out = build.build_documents(_classified(spark, ("g", items)), _identities(spark, ("g", {"congress": 118, "law_number": 5, "volume": 137, "start_page": 10}))).first()
     root = ET.fromstring(out["xml"])
     idents = [e.get("identifier") for e in root.iter() if e.get("identifier")]
     assert "/us/pl/118/5/s1/a/1/A/i" in idents and "/us/pl/118/5/s1/a/1/A/b" in idents and "/us/stat/137/10" in idents
