@@ -1,166 +1,186 @@
 """Repair of text from scanned pages: page furniture, words broken across lines, misread characters, paragraphs.
 
-The vocabulary is counted over all lines. A word that isn't in it is looked up by running a Levenshtein automaton, whose
-single edits include the merges and splits typical of misread print, along the vocabulary's trie: what both accept are all
-candidates. They are ranked by how likely print is misread that way, by their frequency and by their neighbours. Granules are read in order, so
-that a broken word finds its other half behind page numbers, running heads and notices.
+The pages are put in reading order once, in groups of pages. Words and pairs of neighbours are counted over all lines, without the halves of broken words. A Levenshtein automaton,
+whose single edits include the merges and splits typical of misread print, runs along the trie of all vocabulary words; what both accept are all candidates of a form. How print
+is misread is a list of usual confusions and what the corpus itself shows. Candidates are ranked by edits, frequency and neighbours.
+
+No table of words, pairs or forms is held by the driver or broadcast, but for the COMMON words that need no look-up. The vocabulary is cut into shards for the tries; forms, candidates and
+neighbours meet by joins. Nothing is decided by an absolute size of the corpus: a word needs MIN_COUNT occurrences, everything else is a ratio.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, OrderedDict
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from math import log
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexmill.functions.fuzzy import arrow_function
 from lexmill.session import cut
 
 WORD = re.compile(r"[^\W_]+(?:[-'’‐‑][^\W_]+)*")
 #: What printers and scanners leave where a word is broken: hyphens, a soft hyphen, a not sign. Dashes don't break words.
 BREAKS = "-‐‑\xad¬"
 BROKEN = re.compile(f"([^\\W_]+(?:[-'’‐‑][^\\W_]+)*)[{BREAKS}]$")
-#: Least share of all words that a vocabulary word has; so there are at most 1 / MIN_SHARE of them. The same for pairs of words.
-MIN_SHARE, MIN_PAIR_SHARE = 1e-4, 1e-5
-MIN_LETTERS = 3
-#: A form this many times rarer than a word it can be misread from is a misreading, not a word.
+#: Occurrences that make a form a word, and a pair of words usual.
+MIN_COUNT, MIN_PAIRS = 5, 5
+#: Letters of forms that are looked up.
+MIN_LETTERS, MAX_LETTERS = 3, 64
+#: A form this many times rarer than a word it can be misread from is a misreading, not a word. A neighbour fits a word this many times better than the form.
 DOMINANCE = 20
+#: A word with a smaller share of small initials is a proper name, which nothing is corrected to, unless it is as common as NAME_SHARE of all words (months, Congress).
+SMALL_SHARE, NAME_SHARE = 0.5, 1e-4
+#: Common words that need no look-up; this bounds what is broadcast.
+COMMON = 20_000
+#: Words per trie.
+SHARD_WORDS = 50_000
 #: How printed characters are misread, as (printed, read) (fixed values).
 CONFUSIONS = [
     ("e", "c"), ("c", "e"), ("o", "a"), ("a", "o"), ("b", "h"), ("h", "b"), ("n", "u"), ("u", "n"), ("s", "f"), ("s", "ſ"), ("f", "ſ"), ("t", "f"),
     ("m", "rn"), ("rn", "m"), ("u", "ii"), ("d", "cl"), ("w", "vv"), ("li", "h"), ("in", "m"), ("ni", "m"), ("ti", "d"), ("i", "l"), ("l", "i"), ("g", "q"),
     ("i", "1"), ("l", "1"), ("s", "5"), ("o", "0"), ("b", "6"), ("b", "8"), ("s", "8"), ("g", "9"), ("a", "4"), ("z", "2"), ("e", "3"), ("t", "7"),
 ]
-PLAIN_COST, CONFUSION_COST = 6.0, 1.0
+#: Costs of edits: a usual confusion, another substitution within the word, any other edit. Branches beyond MOST can't be accepted.
+USUAL, PLAIN, EDGE, MOST = 1.0, 6.0, 20.0, 20.5
+#: A substitution that isn't listed is usual if it is this share of all single edits between rare forms and words, and seen in so many pairs.
+LEARNED_SHARE, LEARNED_PAIRS = 0.002, 10
+#: After a hyphen these words stand for themselves (fixed values).
+SUSPENDED = {"and", "or", "nor", "to", "but"}
 
 
-_CONFUSED = set(CONFUSIONS)
-#: By what is read: the two printed characters it may stand for; by what is printed: the two characters it may be read as.
-_MERGED: dict[str, list[str]] = {}
-_SPLIT: dict[str, list[str]] = {}
-for _printed, _read in CONFUSIONS:
-    if len(_printed) == 2:
-        _MERGED.setdefault(_read, []).append(_printed)
-    elif len(_read) == 2:
-        _SPLIT.setdefault(_read, []).append(_printed)
+# ---- candidates
 
 
-def substitution(printed: str, read: str) -> float:
-    return CONFUSION_COST if (printed, read) in _CONFUSED or (read.isdigit() and printed.isalpha()) else PLAIN_COST
+class Channel:
+    """Usual confusions by what is read, for one direction of reading."""
 
+    def __init__(self, usual: list[tuple[str, str]], backwards: bool = False):
+        turn = (lambda x: x[::-1]) if backwards else (lambda x: x)
+        self.single = {(p, r) for p, r in usual if len(p) == len(r) == 1}
+        self.merged: dict[str, list[str]] = {}
+        self.split: dict[str, list[str]] = {}
+        for printed, read in usual:
+            if len(printed) == 2:
+                self.merged.setdefault(read, []).append(turn(printed))
+            elif len(read) == 2:
+                self.split.setdefault(turn(read), []).append(printed)
 
-@dataclass
-class Trie:
-    children: dict[str, Trie] = field(default_factory=dict)
-    word: str | None = None
-
-    @classmethod
-    def of(cls, words: Iterator[str]) -> Trie:
-        root = cls()
-        for w in words:
-            node = root
-            for c in w:
-                node = node.children.setdefault(c, cls())
-            node.word = w
-        return root
-
-
-def candidates(read: str, trie: Trie, errors: int = 1) -> dict[str, float]:
-    """All trie words at most `errors` edits from `read`, with the least cost of their edits.
-
-    The automaton's states are (characters of `read` consumed, errors left); it is run along the trie. An edit is a substitution, an insertion, a deletion, or one
-    of the usual merges and splits. Without an error left, or left unused, a state has one successor at most.
+
+def trie_of(words: Iterator[str]) -> dict:
+    """Nested dicts of characters; the key "" holds the word that ends at a node."""
+    root: dict = {}
+    for w in words:
+        node = root
+        for c in w:
+            node = node.setdefault(c, {})
+        node[""] = w
+    return root
+
+
+def bound(form: str) -> int:
+    """Edits within which a form's candidates lie."""
+    return 1 if len(form) < 6 else 2 if len(form) < 9 else 3
+
+
+class Automaton:
+    """Levenshtein automata over the trie of some words and that of the words reversed.
+
+    The states are (characters of the form consumed, edits used). Of two or three edits at most one lies in the first half of the form, or at most one in the
+    second. So the forward trie is searched with one edit in the first half, and the reversed trie likewise: neither opens many branches near its root.
     """
-    n, out = len(read), {}
-
-    def run(node: Trie, i: int, left: int, cost: float) -> None:
-        while True:
-            below = node.children
-            if left:
-                if i < n:
-                    run(node, i + 1, left - 1, cost + PLAIN_COST)
-                    c = read[i]
-                    for p, child in below.items():
-                        run(child, i, left - 1, cost + PLAIN_COST)
-                        if p != c:
-                            run(child, i + 1, left - 1, cost + substitution(p, c))
-                    for p in _MERGED.get(c, ()):
-                        if (child := below.get(p[0])) and (child := child.children.get(p[1])):
-                            run(child, i + 1, left - 1, cost + CONFUSION_COST)
-                    for p in _SPLIT.get(read[i : i + 2], ()):
-                        if child := below.get(p):
-                            run(child, i + 2, left - 1, cost + CONFUSION_COST)
-                else:
-                    for child in below.values():
-                        run(child, i, left - 1, cost + PLAIN_COST)
-            if i == n:
-                if node.word is not None and cost < out.get(node.word, 1e9):
-                    out[node.word] = cost
-                return
-            node = below.get(read[i])
-            if node is None:
-                return
-            i += 1
-
-    run(trie, 0, errors, 0.0)
-    out.pop(read, None)
-    return out
-
-
-class Vocabulary:
-    """Words and pairs of neighbours with their counts among `total` words."""
-
-    def __init__(self, words: dict[str, int], total: int, pairs: dict[tuple[str, str], int] | None = None):
-        self.total, self.pairs = max(total, 1), pairs or {}
-        trie = Trie.of(w for w in words if len(w) >= MIN_LETTERS)
-        # a form is no word if it is a misreading of a much commoner word
-        self.words = {w: n for w, n in words.items() if not any(c <= CONFUSION_COST and words[x] >= DOMINANCE * n for x, c in candidates(w, trie).items())}
-        self.trie = Trie.of(w for w in self.words if len(w) >= MIN_LETTERS)
-        #: words that might be misread from other words
-        self.doubtful = {w for w in self.words if any(c <= CONFUSION_COST for c in candidates(w, self.trie).values())}
-        self.found: OrderedDict[str, list[tuple[float, str]]] = OrderedDict()
-
-    def ranked(self, word: str) -> list[tuple[float, str]]:
-        """Candidates for a form, by channel and frequency; remembered for the latest forms."""
-        if word not in self.found:
-            if len(self.found) >= 1 << 16:
-                self.found.popitem(last=False)
-            self.found[word] = sorted((cost - 0.1 * log(self.words[w]), w) for w, cost in candidates(word, self.trie).items())
-        return self.found[word]
-
-    def near(self, before: str, word: str, after: str) -> int:
-        """With how many of its neighbours the word is a usual pair."""
-        return ((before, word) in self.pairs) + ((word, after) in self.pairs)
-
-    def correct(self, word: str, before: str = "", after: str = "") -> str | None:
-        """The word that a form is misread from, or None if it is right or no word is likely enough.
-
-        A known word is only corrected if it fits neither neighbour and another reading fits both. An unknown form is corrected along a usual
-        confusion; by a plain edit only if both neighbours fit the candidate.
-        """
-        if len(word) < MIN_LETTERS or "-" in word or not any(map(str.isalpha, word)):
-            return None
-        known = word in self.words
-        if known and self.near(before, word, after):
-            return None
-        best = None
-        for cost, w in self.ranked(word):
-            fit = self.near(before, w, after)
-            usual = cost < CONFUSION_COST + 0.5
-            if (usual and (fit == 2 or not known)) or (fit == 2 and not known and len(word) > 4 and word.isalpha() and self.words[w] >= DOMINANCE**2):
-                score = cost - 2.0 * fit
-                if best is None or score < best[0]:
-                    best = (score, w)
-        return best[1] if best else None
-
-
-def broken(text: str) -> re.Match | None:
-    return BROKEN.search(text) if text[-1:] in BREAKS and text else None
+
+    def __init__(self, words: list[str], usual: list[tuple[str, str]]):
+        self.forward, self.backward = trie_of(words), trie_of(w[::-1] for w in words)
+        self.usual, self.turned = Channel(usual), Channel(usual, True)
+
+    def candidates(self, form: str, errors: int | None = None, most: float = MOST) -> dict[str, float]:
+        """All words at most `errors` edits from the form whose edits cost no more than `most`, with the least cost."""
+        errors, n, out = bound(form) if errors is None else errors, len(form), {}
+        half = n // 2
+        self._search(self.forward, form, errors, half - 1 if errors > 1 else 0, most, self.usual, (1, n - 2), out)
+        if errors > 1:
+            back: dict[str, float] = {}
+            self._search(self.backward, form[::-1], errors, n - half, most, self.turned, (2, n - 1), back)
+            for w, cost in back.items():
+                out[w[::-1]] = min(cost, out.get(w[::-1], cost))
+        out.pop(form, None)
+        return out
+
+    @staticmethod
+    def _search(root: dict, read: str, errors: int, free: int, most: float, ch: Channel, within: tuple[int, int], out: dict[str, float]) -> None:
+        """Add what is found to `out`. Before character `free` only the first edit may begin; `within` are the characters whose substitution is a plain edit."""
+        n, single, merged, split = len(read), ch.single, ch.merged, ch.split
+
+        def run(node: dict, i: int, used: int, cost: float) -> None:
+            while True:
+                if used < errors and cost < most and (not used or i >= free):
+                    u, edge, c = used + 1, cost + EDGE <= most, read[i : i + 1]
+                    if edge and c:
+                        run(node, i + 1, u, cost + EDGE)
+                    for p, child in node.items():
+                        if not p:
+                            continue
+                        if edge:
+                            run(child, i, u, cost + EDGE)
+                        if c and p != c:
+                            usual = (p, c) in single or c.isdigit() and p.isalpha()
+                            then = cost + (USUAL if usual else PLAIN if within[0] <= i < within[1] else EDGE)
+                            if then <= most:
+                                run(child, i + 1, u, then)
+                    for p in merged.get(c, ()) if c else ():
+                        if (child := node.get(p[0])) and (child := child.get(p[1])):
+                            run(child, i + 1, u, cost + USUAL)
+                    for p in split.get(read[i : i + 2], ()):
+                        if child := node.get(p):
+                            run(child, i + 2, u, cost + USUAL)
+                if i == n:
+                    w = node.get("")
+                    if w is not None and cost < out.get(w, most + 1):
+                        out[w] = cost
+                    return
+                node = node.get(read[i])
+                if node is None:
+                    return
+                i += 1
+
+        run(root, 0, 0, 0.0)
+
+
+def look_up(forms: DataFrame, words: DataFrame, usual: list[tuple[str, str]]) -> DataFrame:
+    """`form, word, cost`: all candidates among `words` (word) of the distinct `forms` (form).
+
+    The words are cut into shards of about SHARD_WORDS, each with its own trie, and every form meets every shard. Forms are spread over as many tasks as a shuffle has;
+    each task has the words of its shards.
+    """
+    spark = forms.sparkSession
+    shards = words.count() // SHARD_WORDS + 1
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+    w = words.select(F.pmod(F.hash("word"), F.lit(shards)).alias("shard"), copies.alias("salt"), F.lit(0).alias("is_form"), F.col("word").alias("x"))
+    f = forms.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.hash("form"), F.lit(spread)).alias("salt"), F.lit(1).alias("is_form"), F.col("form").alias("x"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, mine, automaton = None, [], None
+        for b in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            for shard, salt, is_form, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (shard, salt) != at:
+                    at, mine, automaton = (shard, salt), [], None
+                if not is_form:
+                    mine.append(x)
+                    continue
+                automaton = automaton or Automaton(mine, usual)
+                for word, cost in automaton.candidates(x).items():
+                    for column, value in zip(out, (x, word, cost), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.float64())], names=["form", "word", "cost"])
+
+    return w.unionByName(f).repartition(spread, "shard", "salt").sortWithinPartitions("shard", "salt", "is_form").mapInArrow(run, "form string, word string, cost double")
 
 
 # ---- page furniture
@@ -209,217 +229,224 @@ def page_label(granule: str | None, page_no: int | None) -> str | None:
     return m[1].upper() + str(int(m[2]) + page_no - 1) if m and page_no is not None else None
 
 
-# ---- a granule
+# ---- lines in reading order
+
+#: Pages of a granule that one group has, and pages of the neighbouring groups that it sees before and after them.
+GROUP_PAGES, SEEN_BEFORE, SEEN_AFTER = 64, 1, 2
+GROUP = ["granule", "grp"]
+
+
+def content_lines(items: DataFrame, granule: Column, text: Column, notices: DataFrame | None = None) -> DataFrame:
+    """`granule, page_no, item_no, item_id, text, aside`: lines with single blanks. Lines without text are left out; a line without a granule is its own. Items in
+    `notices` (`item`) stand aside: no word goes on in them, and paragraphs go on behind them."""
+    flat = F.trim(F.regexp_replace(text, r"[\s\xA0]+", " "))
+    own = F.concat(F.lit("?"), F.coalesce(F.col("item_id").cast("string"), F.lit("")))
+    lines = items.select(F.coalesce(granule, own).alias("granule"), "page_no", "item_no", "item_id", flat.alias("text")).where("text != ''")
+    if notices is None:
+        return lines.withColumn("aside", F.lit(False))
+    known = notices.select(F.col("item").alias("_item")).distinct().withColumn("aside", F.lit(True))
+    return lines.join(known, F.col("item_id") == F.col("_item"), "left").drop("_item").withColumn("aside", F.coalesce("aside", F.lit(False)))
+
+
+ORDERED = "granule string, grp int, own boolean, page_no int, item_no int, item_id long, text string, aside boolean, furniture boolean"
+
+
+def in_order(lines: DataFrame) -> DataFrame:
+    """The lines of each group of pages in reading order, group by group, with `furniture`; `own` lines belong to the group, the others are pages of its neighbours. A long granule
+    has several groups, so no task needs a whole granule. Repeated rows of an item count once; NULL page numbers stand before others, and a line there is furniture only as a running head.
+
+    Written to the checkpoint folder: every further step reads it there, in this order.
+    """
+    page = F.coalesce("page_no", F.lit(0))
+    at, group = F.pmod(page, F.lit(GROUP_PAGES)), F.floor(page / GROUP_PAGES).cast("int")
+    groups = F.array_compact(F.array(group, F.when((at < SEEN_AFTER) & (group != 0), group - 1), F.when(at >= GROUP_PAGES - SEEN_BEFORE, group + 1)))
+    spread = lines.select("granule", "page_no", "item_no", "item_id", "text", "aside", group.alias("_mine"), F.explode(groups).alias("grp")).withColumn("own", F.col("_mine") == F.col("grp"))
+    columns = [x.split()[0] for x in ORDERED.split(", ")]
+    sorted_ = spread.select(*columns[:-1]).repartition(*GROUP).sortWithinPartitions(*GROUP, "page_no", "item_no", "item_id", "text")
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for b in batches:
+            granules, grps, pages, items, texts = (b.column(c).to_pylist() for c in ("granule", "grp", "page_no", "item_id", "text"))
+            keep, flags = [], []
+            for i, line in enumerate(zip(granules, grps, items, texts, strict=True)):
+                if line == last:
+                    continue
+                last = line
+                keep.append(i)
+                flags.append(is_running_head(texts[i]) or is_page_number(texts[i], page_label(granules[i], pages[i])))
+            b = b.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(flags, pa.bool_())], names=columns)
+
+    return cut(sorted_.mapInArrow(mark, ORDERED))
 
 
 @dataclass(slots=True)
 class Line:
+    own: bool
+    aside: bool
     item: int
-    page: int | None
-    text: str
-    aside: bool = False  # a notice or stamp, known beforehand or because a word goes on behind it
-    furniture: bool = False
-    joined: str | None = None  # the whole word whose first part ends the line
-    takes: int | None = None  # index of the line its second part is in
-    fixes: list[tuple[str, str]] = field(default_factory=list)  # form as printed, word
+    words: list[str]  # as printed
+    head: str  # the word the line begins with, if it begins with one
+    broken: str | None  # the word that the line ends in a break of
 
 
-#: After a hyphen these words stand for themselves (fixed values).
-SUSPENDED = {"and", "or", "nor", "to", "but"}
+def read_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Line]]:
+    """The lines of each group in order, without furniture."""
+    at, lines = None, []
+    for b in batches:
+        for granule, grp, own, item, text, aside, furniture in zip(*(b.column(c).to_pylist() for c in ("granule", "grp", "own", "item_id", "text", "aside", "furniture")), strict=True):
+            if (granule, grp) != at:
+                if lines:
+                    yield lines
+                at, lines = (granule, grp), []
+            if not furniture:
+                m, words = BROKEN.search(text) if text[-1:] in BREAKS else None, WORD.findall(text)
+                lines.append(Line(own, aside, item, words, words[0] if words and text.startswith(words[0]) else "", m[1] if m else None))
+    if lines:
+        yield lines
 
 
-def continues(tail: str, text: str, voc: Vocabulary) -> str | None:
-    """The whole word if a line continues the broken word, with a hyphen if the word has its own."""
-    m = WORD.match(text)
-    if not m:
-        return None
-    head = m[0]
-    plain, compound = (tail + head).lower(), f"{tail}-{head}".lower()
-    a, b = voc.words.get(plain, 0), voc.words.get(compound, 0)
-    if a or b:
-        return plain if a >= b else compound
-    for form in (plain, compound):
-        if fixed := voc.correct(form):
-            return fixed
-    if head.lower() in voc.words or not head[0].islower() or any(map(str.isdigit, head)):
-        return None
-    return plain
-
-
-def repair_granule(lines: list[Line], granule: str, voc: Vocabulary) -> None:
-    """Fill in what is found about the lines of one granule, in reading order."""
-    for x in lines:
-        x.furniture = is_running_head(x.text) or is_page_number(x.text, page_label(granule, x.page))
-    taken: set[int] = set()
-    for k, x in enumerate(lines):
-        if x.furniture or x.aside or not (m := broken(x.text)):
-            continue
-        known_only = False
-        for j in range(k + 1, len(lines)):
-            if lines[j].furniture or lines[j].aside:
-                continue
-            word = continues(m[1], lines[j].text, voc)
-            if word and (word in voc.words or not known_only):
-                x.joined, x.takes = word, j
-                taken.add(j)
-                break
-            # `coast- and river-borne`: nothing goes on; nor behind another broken word; behind a line that may go on with a word of its own, only a known word
-            first = WORD.match(lines[j].text)
-            if (first and first[0] in SUSPENDED) or broken(lines[j].text):
-                break
-            known_only |= bool(first and first[0][0].islower() and first[0] in voc.words)
-    for k, x in enumerate(lines):
-        if not x.furniture:
-            x.fixes = misread(x.text, k in taken, x.joined is not None, voc)
-
-
-def misread(text: str, taken: bool, broken: bool, voc: Vocabulary) -> list[tuple[str, str]]:
-    """Misread words of a line, without the parts of broken words."""
-    forms = WORD.findall(text)
-    words = [w.lower() for w in forms]
-    out = []
-    last = len(words) - 1
-    for i, w in enumerate(words):
-        if w in voc.words and w not in voc.doubtful or (taken and i == 0) or (broken and i == last) or forms[i].isdigit():
-            continue
-        if fixed := voc.correct(w, words[i - 1] if i else "", words[i + 1] if i < last else ""):
-            out.append((forms[i], fixed))
-    return out
+# ---- the corpus's own language
 
+FLUSH = 200_000
 
-#: What begins a new paragraph wherever it stands (fixed values).
-OPENERS = re.compile(r"(?:sec(?:tion)?[.,]? ?[0-9l]|§|article|\([0-9a-z]{1,4}\)|[*†‡\[|])", re.I)
 
+def count_words(ordered: DataFrame) -> DataFrame:
+    """`a, b, n, small`: occurrences of words (b NULL; `small`: with a small initial) and of pairs of neighbours in a line. Halves of broken words don't count."""
 
-def piece(x: Line, head_taken: bool) -> str:
-    """The line's part of the repaired text."""
-    text = x.text
-    if x.joined:
-        m = broken(text)
-        whole = m[1] + x.joined[len(m[1]) :] if x.joined.startswith(m[1].lower()) else x.joined
-        text = text[: m.start()] + whole
-    if head_taken:
-        m = WORD.match(text)
-        text = text[m.end() :] if m else text
-    for form, word in x.fixes:
-        right = word.upper() if form.isupper() and len(form) > 1 and form.isalpha() else word.capitalize() if not form[0].islower() and not form[0].isdigit() else word
-        text = re.sub(rf"(?<!\w){re.escape(form)}(?!\w)", right, text, count=1)
-    return text.strip()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, small, pairs = Counter(), Counter(), Counter()
 
+        def flush() -> pa.RecordBatch:
+            a = [*words, *(p[0] for p in pairs)]
+            b = [*[None] * len(words), *(p[1] for p in pairs)]
+            columns = [pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array([*words.values(), *pairs.values()], pa.int64()), pa.array([*(small[w] for w in words), *[0] * len(pairs)], pa.int64())]
+            for c in (words, small, pairs):
+                c.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "small"])
+
+        for lines in read_groups(batches):
+            goes_on = False
+            for x in lines:
+                if x.own:
+                    printed = x.words[bool(goes_on) and not x.aside : len(x.words) - bool(x.broken)]
+                    ws = [w.lower() for w in printed]
+                    words.update(ws)
+                    small.update([w for w in printed if w[0].islower()])
+                    pairs.update(zip(ws, ws[1:], strict=False))
+                goes_on = goes_on if x.aside else x.broken
+            if len(pairs) > FLUSH:
+                yield flush()
+        yield flush()
 
-def opens(x: Line, before: Line | None, width: float) -> bool:
-    """Whether a line of running text begins a paragraph: it carries a number or mark, or the line before ends a sentence short of the usual width."""
-    if before is None or OPENERS.match(x.text):
-        return True
-    return before.joined is None and before.text[-1:] in ".:;]" and len(before.text) < width and not x.text[:1].islower()
+    counts = ordered.select(*[c for c in ordered.columns if c not in ("page_no", "item_no")]).mapInArrow(run, "a string, b string, n long, small long")
+    return counts.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("small").alias("small"))
 
 
-# ---- Spark
+@dataclass
+class Lexicon:
+    """`words` (word, n, name), `forms` (form, n: all that occur), `pairs` (a, b, n), the usual confusions, and common words that are never in doubt."""
 
-#: Pages of a granule that one group has, and pages of the neighbouring groups that it sees before and after them.
-GROUP_PAGES, SEEN_BEFORE, SEEN_AFTER = 64, 1, 2
-LINES = ["granule", "page_no", "item_no", "item_id", "text", "aside"]
-FLUSH = 200_000
+    words: DataFrame
+    forms: DataFrame
+    pairs: DataFrame
+    usual: list[tuple[str, str]]
+    common: frozenset[str]
 
 
-def content_lines(items: DataFrame, granule: Column, text: Column, notices: DataFrame | None = None) -> DataFrame:
-    """`granule, page_no, item_no, item_id, text, aside`: lines with single blanks. Lines without text are left out; a line without a granule is its own. Items in
-    `notices` (`item`) stand aside: no word goes on in them, and paragraphs go on behind them."""
-    flat = F.trim(F.regexp_replace(text, r"[\s\xA0]+", " "))
-    own = F.concat(F.lit("?"), F.coalesce(F.col("item_id").cast("string"), F.lit("")))
-    lines = items.select(F.coalesce(granule, own).alias("granule"), "page_no", "item_no", "item_id", flat.alias("text")).where("text != ''")
-    if notices is None:
-        return lines.withColumn("aside", F.lit(False))
-    known = notices.select(F.col("item").alias("_item")).distinct().withColumn("aside", F.lit(True))
-    return lines.join(known, F.col("item_id") == F.col("_item"), "left").drop("_item").withColumn("aside", F.coalesce("aside", F.lit(False)))
+def _one_edit(word: Column, form: Column) -> Column:
+    """Of equally long strings that differ in one character: (printed, read)."""
+    at = F.filter(F.sequence(F.lit(1), F.length(form)), lambda i: F.substr(word, i, F.lit(1)) != F.substr(form, i, F.lit(1)))
+    return F.when((F.length(word) == F.length(form)) & (F.size(at) == 1), F.struct(F.substr(word, at[0], F.lit(1)).alias("p"), F.substr(form, at[0], F.lit(1)).alias("r")))
 
 
-def _counts(lines: DataFrame, tally, schema: str) -> DataFrame:
-    """Sums of what `tally` adds to a counter per batch of texts; counters are flushed before they grow large."""
+def learn(ordered: DataFrame, min_count: int = MIN_COUNT) -> Lexicon:
+    """The lexicon of all lines."""
+    return lexicon(cut(count_words(ordered)), min_count)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in schema.split(", ")]
 
-        def flush(c: Counter) -> pa.RecordBatch:
-            keys = list(c)
-            columns = [pa.array(k, pa.string()) for k in (zip(*keys, strict=True) if keys else [[]] * (len(names) - 1))]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(list(c.values()), pa.int64())], names=names)
+def lexicon(counts: DataFrame, min_count: int = MIN_COUNT) -> Lexicon:
+    """The lexicon from counts as of count_words. A form with `min_count` occurrences is a word, unless it is a misreading of a much commoner one."""
+    single = counts.where(F.col("b").isNull() & (F.col("n") >= min_count) & ~F.col("a").rlike("^[0-9]*$") & (F.length("a") <= MAX_LETTERS))
+    total = counts.where("b is null").agg(F.sum("n")).first()[0] or 0
+    name = (F.col("small") < SMALL_SHARE * F.col("n")) & (F.col("n") < NAME_SHARE * total)
+    words = cut(single.select(F.col("a").alias("word"), "n", name.alias("name")))
+    inner = _looked_up(words.select(F.col("word").alias("form"))).join(words.select(F.col("word").alias("form"), F.col("n").alias("nf")), "form")
+    found = cut(look_up(inner.select("form"), _targets(words), CONFUSIONS).join(inner, "form").join(words.select("word", "n"), "word"))
+    rarer = found.where(F.col("n") >= DOMINANCE * F.col("nf"))
+    # substitutions that come up again and again between rare forms and common words are usual, too
+    edits = rarer.select(_one_edit(F.col("word"), F.col("form")).alias("e"), "nf").where("e is not null").groupBy("e").agg(F.sum("nf").alias("mass"), F.count("*").alias("pairs"))
+    edits = cut(edits)
+    mass = edits.agg(F.sum("mass")).first()[0] or 0
+    more = [(r.p, r.r) for r in edits.where((F.col("mass") >= LEARNED_SHARE * mass) & (F.col("pairs") >= LEARNED_PAIRS)).select("e.*").collect()]  # at most 1 / LEARNED_SHARE
+    usual = sorted({*CONFUSIONS, *more})
+    if set(more) - set(CONFUSIONS):
+        found = cut(look_up(inner.select("form"), _targets(words), usual).join(inner, "form").join(words.select("word", "n"), "word"))
+        rarer = found.where(F.col("n") >= DOMINANCE * F.col("nf"))
+    wrong = rarer.where(F.col("cost") < PLAIN).select(F.col("form").alias("word")).distinct()
+    right = cut(words.join(wrong, "word", "left_anti"))
+    doubtful = found.where(F.col("cost") < PLAIN).select("form", "word").join(right.select("word"), "word", "left_semi").select(F.col("form").alias("word")).distinct()
+    sure = right.where(~F.col("word").contains("-")).join(doubtful, "word", "left_anti").orderBy(F.desc("n"), "word").limit(COMMON)
+    forms, pairs = counts.where("b is null").select(F.col("a").alias("form"), "n"), counts.where("b is not null").select("a", "b", "n")
+    return Lexicon(right, forms, pairs, usual, frozenset(r.word for r in sure.select("word").collect()))
 
-        counter: Counter = Counter()
-        for b in batches:
-            tally(counter, b.column(0).to_pylist())
-            if len(counter) > FLUSH:
-                yield flush(counter)
-                counter.clear()
-        yield flush(counter)
 
-    keys = [x.split()[0] for x in schema.split(", ")][:-1]
-    return lines.select("text").mapInArrow(run, schema).groupBy(*keys).agg(F.sum("n").alias("n"))
+def _looked_up(forms: DataFrame) -> DataFrame:
+    """The forms that can be misread words: MIN_LETTERS to MAX_LETTERS characters with a letter, no compounds."""
+    c = F.col("form")
+    return forms.where(F.length(c).between(MIN_LETTERS, MAX_LETTERS) & ~c.contains("-") & c.rlike(r"\p{L}"))
 
 
-def _tally_words(counter: Counter, texts: list[str]) -> None:
-    words = Counter(WORD.findall("\n".join(texts).lower()))
-    for w, n in words.items():
-        counter[(w,)] += n
-    counter[("",)] += sum(words.values())
+def _targets(words: DataFrame) -> DataFrame:
+    """The words that forms are corrected to."""
+    return words.where(~F.col("name") & (F.length("word") >= MIN_LETTERS)).select("word")
 
 
-def learn(lines: DataFrame, min_share: float = MIN_SHARE, min_pair_share: float = MIN_PAIR_SHARE) -> Vocabulary:
-    """The vocabulary of all lines. The shares bound what reaches the driver: at most 1 / min_share words and 1 / min_pair_share pairs, at any size."""
-    counts = cut(_counts(lines, _tally_words, "word string, n long"))
-    total = (counts.where("word = ''").agg(F.sum("n")).first()[0]) or 0
-    usual = counts.where((F.col("n") >= min_share * total) & ~F.col("word").rlike("^[0-9]*$"))
-    words = {r.word: r.n for r in usual.collect()}
-    known = lines.sparkSession.sparkContext.broadcast(frozenset(words))
+# ---- repair
 
-    def tally(counter: Counter, texts: list[str]) -> None:
-        have = known.value
-        for t in texts:
-            ws = WORD.findall(t.lower())
-            counter.update([x for x in zip(ws, ws[1:], strict=False) if x[0] in have and x[1] in have])
 
-    pairs = _counts(lines, tally, "a string, b string, n long").where(F.col("n") >= min_pair_share * total)
-    return Vocabulary(words, total, {(r.a, r.b): r.n for r in pairs.collect()})
+@dataclass
+class Repairs:
+    """`joins` (item_id, joined, taker, between), `fixes` (item_id, at, printed, fixed): words whose first part ends a line and goes on in the line `taker`, behind the items
+    `between`; the misread words of lines, `at` the n-th of the line."""
 
+    ordered: DataFrame
+    joins: DataFrame
+    fixes: DataFrame
 
-def _grouped(lines: DataFrame) -> DataFrame:
-    """Lines in reading order, with the group of pages they are read for (`_group`) and whether they belong to it (`_own`). A long granule has several groups,
-    which see some pages of each other; so no task needs a whole granule."""
-    page = F.coalesce("page_no", F.lit(0))
-    at, group = F.pmod(page, F.lit(GROUP_PAGES)), F.floor(page / GROUP_PAGES).cast("int")
-    groups = F.array_compact(F.array(group, F.when((at < SEEN_AFTER) & (group != 0), group - 1), F.when(at >= GROUP_PAGES - SEEN_BEFORE, group + 1)))
-    order = ["granule", "_group", "page_no", "item_no", "item_id", "text"]
-    spread = lines.select(*LINES, group.alias("_mine"), F.explode(groups).alias("_group")).withColumn("_own", F.col("_mine") == F.col("_group"))
-    return spread.select("granule", "_group", "_own", "page_no", "item_no", "item_id", "text", "aside").repartition("granule", "_group").sortWithinPartitions(*order)
 
+SEEN = "kind string, item_id long, at int, printed string, form string, before string, after string, edge string, taker long, tail string, head string"
 
-def repair_lines(lines: DataFrame, voc: Vocabulary, texts: bool = False) -> DataFrame:
-    """Of content_lines: `granule, page_no, item_no, item_id, furniture, aside, joined, fixes, piece, opens`; without `texts` only lines with a finding.
 
-    joined is the whole word whose first part ends the line, fixes are the words that are misread. Repeated rows of an item count once; NULL page numbers stand
-    before others, and a line there is furniture only as a running head.
-    """
-    shared = lines.sparkSession.sparkContext.broadcast(voc)
-    schema = "granule string, page_no int, item_no int, item_id long, furniture boolean, aside boolean, joined string, fixes array<string>, piece string, opens boolean"
-    names = [x.split()[0] for x in schema.split(", ")]
-    types = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.string(), pa.bool_()]
-
-    def finish(granule: str, rows: list[tuple]) -> Iterator[tuple]:
-        found = [Line(item, page, text, aside) for _, page, _, item, text, aside in rows]
-        repair_granule(found, granule, shared.value)
-        takers = {x.takes for x in found if x.takes is not None}
-        for k, x in enumerate(found):
-            for y in found[k + 1 : x.takes or 0]:
-                y.aside = True
-        sizes = sorted(len(x.text) for x in found if not x.furniture)
-        width = 0.8 * sizes[len(sizes) * 3 // 4] if sizes else 0
-        before: Line | None = None
-        for k, (x, (own, page, number, item, *_)) in enumerate(zip(found, rows, strict=True)):
-            first = not x.furniture and not x.aside and texts and k not in takers and opens(x, before, width)
-            if own and (texts or x.furniture or x.joined or x.fixes):
-                yield granule, page, number, item, x.furniture, x.aside, x.joined, [w for _, w in x.fixes], None if not texts or x.furniture else piece(x, k in takers), first
-            if not x.furniture and not x.aside:
-                before = x
+def examine(ordered: DataFrame, common: frozenset[str]) -> DataFrame:
+    """What has to be looked up, in reading order (SEEN): words (`kind` w) that aren't common, with their neighbours, also in the lines before and after; `edge` says that a word begins a line behind a broken
+    one, or ends a broken one. And the lines (`kind` j) that may go on with the broken word of a line, up to one where nothing can go on."""
+    names = [x.split()[0] for x in SEEN.split(", ")]
+    types = [pa.string(), pa.int64(), pa.int32(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.string()]
+    known = ordered.sparkSession.sparkContext.broadcast(common)
+
+    def word_rows(lines: list[Line], k: int) -> Iterator[tuple]:
+        x = lines[k]
+        low = [w.lower() for w in x.words]
+        behind = bool(k and lines[k - 1].broken)
+        for i, w in enumerate(low):
+            if w in known.value or len(w) < MIN_LETTERS or len(w) > MAX_LETTERS or "-" in w or w.isdigit():
+                continue
+            edge = "first" if behind and not i else "last" if x.broken and i == len(low) - 1 else None
+            before = low[i - 1] if i else lines[k - 1].words[-1].lower() if k and not behind and lines[k - 1].words else ""
+            after = low[i + 1] if i + 1 < len(low) else lines[k + 1].words[0].lower() if k + 1 < len(lines) and not x.broken and lines[k + 1].words else ""
+            yield "w", x.item, i, x.words[i], w, before, after, edge, None, None, None
+
+    def join_rows(lines: list[Line], k: int) -> Iterator[tuple]:
+        tail, n = lines[k].broken, 0
+        for j in range(k + 1, len(lines)):
+            y = lines[j]
+            yield "j", lines[k].item, n, None, None, None, None, None, y.item, tail, y.head
+            n += 1
+            # `coast- and river-borne`: nothing goes on; nor behind another broken word, nor behind a word that is surely whole
+            if y.head in SUSPENDED or y.broken or y.head and (tail + y.head).lower() in known.value:
+                return
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -430,44 +457,161 @@ def repair_lines(lines: DataFrame, voc: Vocabulary, texts: bool = False) -> Data
             out.clear()
             return batch
 
-        current, rows = None, []
-        for b in batches:
-            for granule, group, own, page, number, item, text, aside in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if (granule, group) != current:
-                    if rows:
-                        out.extend(finish(current[0], rows))
-                    current, rows = (granule, group), []
-                    if len(out) > 20_000:
-                        yield flush()
-                if not rows or rows[-1][3] != item or rows[-1][4] != text:
-                    rows.append((own, page, number, item, text, aside))
-        if rows:
-            out.extend(finish(current[0], rows))
+        for every in read_groups(batches):
+            lines = [x for x in every if not x.aside]
+            for k, x in enumerate(lines):
+                if x.own:
+                    out.extend(word_rows(lines, k))
+                    if x.broken:
+                        out.extend(join_rows(lines, k))
+            for x in every:
+                if x.own and x.aside:
+                    out.extend(word_rows([x], 0))
+            if len(out) > 20_000:
+                yield flush()
         yield flush()
 
-    return _grouped(lines).mapInArrow(run, schema)
+    return ordered.select(*[c for c in ordered.columns if c not in ("page_no", "item_no")]).mapInArrow(run, SEEN)
 
 
-def findings(repaired: DataFrame) -> DataFrame:
+def repair(ordered: DataFrame, lex: Lexicon) -> Repairs:
+    """What is broken and misread in the lines of in_order.
+
+    A known word is only corrected along usual confusions, and if both neighbours fit another reading DOMINANCE times better. An unknown form is corrected to a word DOMINANCE times as common along usual confusions, of
+    which a long word may have several; one other substitution within it is accepted in a word of ten letters, or, with any other single edit, where both neighbours fit.
+    """
+    seen = cut(examine(ordered, lex.common))
+    words, whole = seen.where("kind = 'w'"), F.lower(F.concat("tail", "head"))
+    joins = seen.where("kind = 'j'").select("item_id", "at", "taker", "head", F.col("tail"), whole.alias("plain"), F.lower(F.concat_ws("-", "tail", "head")).alias("compound"))
+    asked = words.select("form").union(joins.select(F.explode(F.array("plain", "compound")))).distinct()
+    known = lex.words.select(F.col("word").alias("form"), F.lit(True).alias("known"))
+    forms = _looked_up(asked).join(known, "form", "left").join(lex.forms.select("form", F.col("n").alias("nf")), "form", "left").withColumn("nf", F.coalesce("nf", F.lit(1)))
+    targets = lex.words.select("word", "n")
+    rows = look_up(forms.select("form"), _targets(lex.words), lex.usual).join(targets, "word").join(forms, "form")
+    rows = rows.where(F.when(F.col("known"), F.col("cost") < PLAIN).otherwise(F.col("n") >= DOMINANCE * F.col("nf")))
+    usual, long_ = F.col("cost") < PLAIN, F.length("form") >= 10
+    found = cut(rows.select("form", "word", "n", "nf", "known", usual.alias("usual"), (usual | (long_ & (F.col("cost") < 2 * PLAIN))).alias("alone"), (F.col("cost") - 0.1 * F.log("n")).alias("score")))
+    fixes = _misread(words, found, lex)
+    joined = cut(_joined(joins, found.where("known is null and alone"), lex))
+    taken, done = joined.select(F.col("taker").alias("item_id")), joined.select("item_id")
+    first, last = F.col("edge") == "first", F.col("edge") == "last"
+    open_ = fixes.where("edge is null").unionByName(fixes.where(first).join(taken, "item_id", "left_anti")).unionByName(fixes.where(last).join(done, "item_id", "left_anti"))
+    return Repairs(ordered, joined, cut(open_.select("item_id", "at", "printed", "fixed")))
+
+
+def _misread(words: DataFrame, found: DataFrame, lex: Lexicon) -> DataFrame:
+    """`item_id, at, printed, edge, fixed` of the examined words that have an accepted candidate."""
+    keys = ["item_id", "at", "printed", "edge", "form"]
+    c = words.join(found, "form").select(*keys, "before", "after", "word", "n", "nf", "known", "usual", "alone", "score")
+    asked = F.array(*[F.struct(F.lit(side).alias("side"), a.alias("a"), b.alias("b")) for side, a, b in (
+        ("wb", F.col("before"), F.col("word")), ("wa", F.col("word"), F.col("after")), ("fb", F.col("before"), F.col("form")), ("fa", F.col("form"), F.col("after")))])
+    sides = c.select("*", F.inline(asked)).where("a != '' and b != ''")
+    wanted = sides.select("a", "b").distinct()
+    have = lex.pairs.join(wanted, ["a", "b"], "left_semi")
+    counted = sides.join(have.select("a", "b", F.col("n").alias("pairs")), ["a", "b"], "left").groupBy(*keys, "word").agg(*[F.max(F.when(F.col("side") == s, F.coalesce("pairs", F.lit(0)))).alias(s) for s in ("wb", "wa", "fb", "fa")])
+    fits = lambda w, f: F.coalesce((F.col(w) >= MIN_PAIRS) & (F.col(w) >= DOMINANCE * F.col(f)), F.lit(False)).cast("int")
+    fit = fits("wb", "fb") + fits("wa", "fa")
+    one = c.drop("before", "after").dropDuplicates([*keys, "word"])
+    both = one.join(counted.select(*[F.col(k).alias(f"_{k}") for k in ("item_id", "at", "word")], fit.alias("fit")), (F.col("item_id") == F.col("_item_id")) & (F.col("at") == F.col("_at")) & (F.col("word") == F.col("_word")), "left")
+    both = both.withColumn("fit", F.coalesce("fit", F.lit(0)))
+    rare = F.col("n") >= DOMINANCE**2 * F.col("nf")
+    context = (F.length("form") > 4) & F.col("form").rlike(r"^\p{L}+$") & rare & (F.col("fit") == 2)
+    accepted = F.when(F.col("known"), F.col("usual") & (F.col("fit") == 2)).otherwise(F.col("alone") | context)
+    best = F.min(F.struct((F.col("score") - 2.0 * F.col("fit")).alias("score"), "word"))
+    return both.where(accepted).groupBy("item_id", "at", "printed", "edge").agg(best.alias("b")).select("item_id", "at", "printed", "edge", F.col("b.word").alias("fixed"))
+
+
+def _joined(joins: DataFrame, found: DataFrame, lex: Lexicon) -> DataFrame:
+    """`item_id, joined, taker, between`: for each broken word the first line that goes on with it."""
+    best = found.groupBy("form").agg(F.min(F.struct("score", "word")).alias("b")).select("form", F.col("b.word").alias("fixed"))
+    asked = F.array(*[F.struct(F.lit(k).alias("what"), f.alias("form")) for k, f in (("plain", F.col("plain")), ("compound", F.col("compound")), ("head", F.lower("head")))])
+    each = joins.select("item_id", "at", "taker", F.inline(asked))
+    info = lex.words.select(F.col("word").alias("form"), "n").join(best, "form", "full")
+    told = each.join(info, "form", "left").groupBy("item_id", "at", "taker").agg(*[F.max(F.when(F.col("what") == w, F.col(v))).alias(f"{w}_{v}") for w in ("plain", "compound", "head") for v in ("n", "fixed")])
+    d = joins.dropDuplicates(["item_id", "at", "taker"]).join(told, ["item_id", "at", "taker"])
+    a, b = F.coalesce("plain_n", F.lit(0)), F.coalesce("compound_n", F.lit(0))
+    initial, head_known = F.substring("head", 1, 1).rlike(r"^\p{Ll}"), F.col("head_n").isNotNull()
+    fragment = ~head_known & initial & ~F.col("head").rlike("[0-9]")
+    word = F.when((a > 0) | (b > 0), F.when(a >= b, F.col("plain")).otherwise(F.col("compound"))).otherwise(F.coalesce("plain_fixed", "compound_fixed", F.when(fragment, F.col("plain"))))
+    sure = (a > 0) | (b > 0) | F.col("plain_fixed").isNotNull() | F.col("compound_fixed").isNotNull()
+    before = Window.partitionBy("item_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    # behind a line that may go on with a word of its own, only a known word goes on
+    whole = F.max(initial & head_known).over(before)
+    d = d.withColumn("word", F.when(F.col("head") != "", word)).withColumn("ok", F.col("word").isNotNull() & (sure | ~F.coalesce(whole, F.lit(False))))
+    first = d.groupBy("item_id").agg(F.min(F.when(F.col("ok"), F.struct("at", "word", "taker"))).alias("f"), F.collect_list(F.struct("at", "taker")).alias("l")).where("f is not null")
+    return first.select("item_id", F.col("f.word").alias("joined"), F.col("f.taker").alias("taker"), F.transform(F.filter("l", lambda x: x["at"] < F.col("f.at")), lambda x: x["taker"]).alias("between"))
+
+
+def findings(r: Repairs) -> DataFrame:
     """`item_id, kind, fixed`: furniture, words broken across lines, misread words."""
-    cases = F.concat(
-        F.array_compact(F.array(
-            F.when(F.col("furniture"), F.struct(F.lit("furniture").alias("kind"), F.lit("").alias("fixed"))),
-            F.when(F.col("joined").isNotNull(), F.struct(F.lit("hyphen").alias("kind"), F.col("joined").alias("fixed"))),
-        )),
-        F.transform("fixes", lambda w: F.struct(F.lit("misread").alias("kind"), w.alias("fixed"))),
-    )
-    return repaired.select("item_id", F.inline(cases)).distinct()
+    furniture = r.ordered.where("own and furniture").select("item_id", F.lit("furniture").alias("kind"), F.lit("").alias("fixed"))
+    hyphens = r.joins.select("item_id", F.lit("hyphen").alias("kind"), F.col("joined").alias("fixed"))
+    misread = r.fixes.select("item_id", F.lit("misread").alias("kind"), "fixed")
+    return furniture.unionByName(hyphens).unionByName(misread).distinct()
+
+
+# ---- paragraphs
+
+#: What begins a new paragraph wherever it stands (fixed values).
+OPENERS = re.compile(r"(?:sec(?:tion)?[.,]? ?[0-9l]|§|article|\([0-9a-z]{1,4}\)|[*†‡\[|])", re.I)
 
 
-def paragraphs_of(repaired: DataFrame) -> DataFrame:
+def piece(text: str, joined: str | None, taken: bool | None, fixes: list | None) -> str:
+    """The line's part of the repaired text: with the whole of the word that it breaks off, without the rest of one that begins before it, its misread words right."""
+    if joined:
+        m = BROKEN.search(text)
+        whole = m[1] + joined[len(m[1]) :] if joined.startswith(m[1].lower()) else joined
+        text = text[: m.start()] + whole
+    if taken:
+        m = WORD.match(text)
+        text = text[m.end() :] if m else text
+    for _, form, word in sorted(tuple(x) if not isinstance(x, dict) else tuple(x.values()) for x in (fixes if fixes is not None else ())):
+        right = word.upper() if form.isupper() and len(form) > 1 and form.isalpha() else word.capitalize() if not form[0].islower() and not form[0].isdigit() else word
+        text = re.sub(rf"(?<!\w){re.escape(form)}(?!\w)", right, text, count=1)
+    return text.strip()
+
+
+#: A line this much shorter than the granule's usual ones (their upper quartile) may end a paragraph.
+SHORT = 0.8
+
+
+def paragraphs_of(r: Repairs) -> DataFrame:
     """`granule, para_no, text, notices`: continuous paragraphs of each granule, from 1, without furniture; the notices that stand within a paragraph or behind it
-    (para_no 0: before the first) are kept beside it."""
-    order = Window.partitionBy("granule").orderBy("page_no", "item_no", "item_id")
-    numbered = repaired.where("not furniture").withColumn("para_no", F.sum(F.col("opens").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    (para_no 0: before the first) are kept beside it.
+
+    A line opens a paragraph if it carries a number or mark, or if the line of running text before it ends a sentence short of the granule's usual width. Lines are read and numbered within groups of pages;
+    the last line and the number of paragraphs of the groups before are handed on.
+    """
+    none = F.lit(None)
+    info = r.joins.select("item_id", "joined", none.cast("boolean").alias("taken"), none.cast("boolean").alias("between"))
+    info = info.unionByName(r.joins.select(F.col("taker").alias("item_id"), none.cast("string").alias("joined"), F.lit(True).alias("taken"), none.cast("boolean").alias("between")))
+    info = info.unionByName(r.joins.select(F.explode("between").alias("item_id"), none.cast("string").alias("joined"), none.cast("boolean").alias("taken"), F.lit(True).alias("between")))
+    info = info.groupBy("item_id").agg(F.max("joined").alias("joined"), F.max("taken").alias("taken"), F.max("between").alias("between"))
+    fixes = r.fixes.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("at", "printed", "fixed"))).alias("fixes"))
+    lines = r.ordered.where("not furniture").join(info, "item_id", "left").join(fixes, "item_id", "left")
+    width = r.ordered.where("own and not furniture").groupBy(F.col("granule").alias("_g")).agg((SHORT * F.percentile(F.length("text"), 0.75)).alias("width"))
+    lines = lines.join(width, F.col("granule") == F.col("_g")).withColumn("running", ~F.col("aside") & F.col("between").isNull())
+
+    order = Window.partitionBy(*GROUP).orderBy("page_no", "item_no", "item_id")
+    this = F.when(F.col("running"), F.struct("text", "joined"))
+    lines = lines.withColumn("before", F.last(this, True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    ends = lines.where("own").groupBy(*GROUP).agg(F.max_by(this, F.when(F.col("running"), F.struct("page_no", "item_no", "item_id"))).alias("end"))
+    handed = F.last("end", True).over(Window.partitionBy("granule").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(*[F.col(c).alias(f"_{c}") for c in GROUP], handed.alias("handed"))
+    same = [F.col(c) == F.col(f"_{c}") for c in GROUP]
+    lines = lines.where("own").join(ends, same, "left").withColumn("before", F.coalesce("before", "handed"))
+    mark, ended = F.col("text").rlike(f"(?i)^{OPENERS.pattern}"), F.col("before.text").rlike(r"[.:;\]]$") & (F.length("before.text") < F.col("width")) & F.col("before.joined").isNull()
+    opens = F.col("running") & F.col("taken").isNull() & (F.col("before").isNull() | mark | (ended & ~F.col("text").rlike(r"^\p{Ll}")))
+    lines = lines.withColumn("opens", F.coalesce(opens, F.lit(False)).cast("int"))
+    lines = lines.withColumn("n", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("handed", *[f"_{c}" for c in GROUP])
+    before = F.sum("opened").over(Window.partitionBy("granule").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = lines.groupBy(*GROUP).agg(F.sum("opens").alias("opened")).select(*[F.col(c).alias(f"_{c}") for c in GROUP], F.coalesce(before, F.lit(0)).alias("offset"))
+    lines = lines.join(offsets, same).withColumn("para_no", F.col("n") + F.col("offset"))
+    rows = lambda *columns: [piece(*x) for x in zip(*columns, strict=True)]
+    lines = lines.withColumn("piece", arrow_function(rows, "string", F.col("text"), F.col("joined"), F.coalesce("taken", F.lit(False)), F.col("fixes")))
 
     def parts(keep: Column) -> Column:
         there = F.array_sort(F.collect_list(F.when(keep & (F.col("piece") != ""), F.struct("page_no", "item_no", "item_id", "piece"))))
         return F.transform(there, lambda x: x["piece"])
 
-    return numbered.groupBy("granule", "para_no").agg(F.array_join(parts(~F.col("aside")), " ").alias("text"), parts(F.col("aside")).alias("notices"))
+    return lines.groupBy("granule", "para_no").agg(F.array_join(parts(F.col("running")), " ").alias("text"), parts(~F.col("running")).alias("notices"))

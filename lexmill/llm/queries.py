@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm.langid import detect_languages, language_issues, train
-from lexmill.llm.ocr import content_lines, findings, learn, paragraphs_of, repair_lines
+from lexmill.llm.ocr import content_lines, findings, in_order, learn, paragraphs_of, repair
 from lexmill.llm.packing import pack_documents, packing_report
 from lexmill.llm.repeats import blocks, occurrences, repeated_items, source_lines, strip_items
 from lexmill.llm.tokenize import encode_texts
@@ -22,14 +22,14 @@ def _page_lines(spark: SparkSession, d: str, notices: DataFrame | None = None) -
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    lines = _page_lines(spark, d)
-    return findings(repair_lines(lines, learn(lines)))
+    ordered = in_order(_page_lines(spark, d))
+    return findings(repair(ordered, learn(ordered)))
 
 
 def p4_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """Paragraphs by granule; the lines repeated within a package (problem 6) are its notices."""
-    lines = _page_lines(spark, d, repeated_items(_repeated(spark, d)))
-    return paragraphs_of(repair_lines(lines, learn(_page_lines(spark, d)), texts=True))
+    ordered = in_order(_page_lines(spark, d, repeated_items(_repeated(spark, d))))
+    return paragraphs_of(repair(ordered, learn(ordered)))
 
 
 def _repeated(spark: SparkSession, d: str) -> DataFrame:
