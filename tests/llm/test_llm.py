@@ -206,43 +206,124 @@ def test_source_lines_and_stripping(spark):
 # ---- 4
 
 
-def _distance_candidates(read, words):
-    """Brute force: apply every edit backwards."""
-    out = set()
-    letters = set("".join(words))
-    for i in range(len(read) + 1):
-        out |= {read[:i] + read[i + 1 :]} | {read[:i] + c + read[i + k :] for c in letters for k in (0, 1)}
-        for printed, seen in ocr.CONFUSIONS:
-            if read.startswith(seen, i):
-                out.add(read[:i] + printed + read[i + len(seen) :])
-    return {w for w in words if w in out} - {read}
+def _brute_candidates(read, words, errors, most, usual):
+    """Brute force: for each word a table of the least cost by characters of the form, characters of the word, and edits."""
+    n, out = len(read), {}
+    single = {(p, r) for p, r in usual if len(p) == len(r) == 1}
+    odd = [(p, r) for p, r in usual if len(p) != len(r)]
+    for w in words:
+        best = {(0, 0, 0): 0.0}
+        for i in range(n + 1):
+            for j in range(len(w) + 1):
+                for k in range(errors + 1):
+                    if (cost := best.get((i, j, k))) is None:
+                        continue
+                    steps = []
+                    if i < n and j < len(w):
+                        if w[j] == read[i]:
+                            steps.append((1, 1, 0, 0.0))
+                        else:
+                            like = (w[j], read[i]) in single or read[i].isdigit() and w[j].isalpha()
+                            steps.append((1, 1, 1, ocr.USUAL if like else ocr.PLAIN if 1 <= i < n - 2 else ocr.EDGE))
+                    steps += [(1, 0, 1, ocr.EDGE)] * (i < n) + [(0, 1, 1, ocr.EDGE)] * (j < len(w))
+                    steps += [(len(r), len(p), 1, ocr.USUAL) for p, r in odd if read.startswith(r, i) and w.startswith(p, j)]
+                    for di, dj, dk, c in steps:
+                        key = (i + di, j + dj, k + dk)
+                        if key[2] <= errors and cost + c < best.get(key, 1e9):
+                            best[key] = cost + c
+        least = min(best.get((n, len(w), k), 1e9) for k in range(errors + 1))
+        if least <= most and w != read:
+            out[w] = least
+    return out
 
 
 def test_candidates_are_complete_against_brute_force():
     rng = random.Random(6)
-    words = sorted({"".join(rng.choice("abcdelmnorsu") for _ in range(rng.randint(3, 7))) for _ in range(300)} | {"modern", "modem", "shall", "relief", "government"})
-    trie = ocr.Trie.of(words)
-    for _ in range(400):
-        read = list(rng.choice(words))
-        read[rng.randrange(len(read))] = rng.choice(["rn", "m", "c", "", "xe", "1"])
-        read = "".join(read)
-        assert set(ocr.candidates(read, trie)) == _distance_candidates(read, words), read
-    assert ocr.candidates("modem", trie)["modern"] == ocr.CONFUSION_COST and "shall" in ocr.candidates("fball", trie, 2) and "shall" not in ocr.candidates("fball", trie)
+    words = sorted({"".join(rng.choice("abcdelmnorsu") for _ in range(rng.randint(3, 9))) for _ in range(120)} | {"modern", "modem", "shall", "relief", "government"})
+    automaton = ocr.Automaton(words, ocr.CONFUSIONS)
+    for _ in range(60):
+        read = rng.choice(words)
+        for _ in range(rng.randint(1, 3)):
+            i = rng.randrange(len(read) + 1)
+            read = read[:i] + rng.choice(["rn", "m", "c", "", "xe", "1", "ii"]) + read[i + rng.randint(0, 2) :]
+        for errors in (1, 2, 3):
+            for most in (ocr.MOST, 1e6):
+                assert automaton.candidates(read, errors, most) == _brute_candidates(read, words, errors, most, ocr.CONFUSIONS), (read, errors)
+    assert automaton.candidates("", 1) == {} and "modern" in automaton.candidates("modem")
 
 
-@pytest.fixture(scope="module")
-def voc():
-    words = {w: 1000 for w in "whoever destroys public records shall be fined and the secretary attorney-general of united states according to plat recorded obligations preserve military duty-free term lands coast alike president section cases laws".split()}
-    words |= {"fhall": 9, "sec": 900, "see": 1000}
-    pairs = {("records", "shall"): 50, ("shall", "be"): 50, ("to", "see"): 50, ("see", "the"): 50}
-    return ocr.Vocabulary(words, 100_000, pairs)
+WORDS = "whoever destroys public records shall be fined and the secretary attorney-general of united states according to plat recorded obligations preserve military duty-free term lands coast alike president section cases laws committee appropriation".split()
+
 
+def _lexicon(spark, words, pairs=(), names=()):
+    rows_ = [(w, None, n, 0 if w in names else n) for w, n in words.items()] + [(a, b, n, 0) for (a, b), n in dict(pairs).items()]
+    return ocr.lexicon(spark.createDataFrame(rows_, "a string, b string, n long, small long"))
 
-def test_corrections(voc):
-    assert "fhall" not in voc.words and voc.correct("fhall") == "shall"
-    for read, want in (("dcstroys", "destroys"), ("rnilitary", "military"), ("mi1itary", "military"), ("piiblic", "public"), ("secretary", None), ("quilnorra", None), ("1790", None), ("of", None), ("destroy", None), ("6nited", "united")):
-        assert voc.correct(read) == want, read
-    assert voc.correct("sec", "to", "the") == "see" and voc.correct("sec", "a", "b") is None  # a word that context contradicts
+
+def _ordered(spark, *lines, notices=()):
+    """lines: granule, page, text"""
+    df = spark.createDataFrame([(i, g, p, i, t, None) for i, (g, p, t) in enumerate(lines)], "item_id long, granule_id string, page_no int, item_no int, text string, orig string")
+    return ocr.in_order(ocr.content_lines(df, F.col("granule_id"), F.coalesce("text", "orig"), df.where(F.col("item_id").isin(list(notices))).select(F.col("item_id").alias("item"))))
+
+
+@pytest.fixture(scope="module")
+def lex(spark):
+    words = dict.fromkeys(WORDS, 1000) | {"fhall": 9, "sec": 900, "see": 1000, "thamkole": 50, "filler": 4_000_000}
+    pairs = {("records", "shall"): 50, ("shall", "be"): 50, ("to", "see"): 50, ("see", "the"): 50, ("the", "lands"): 60, ("lands", "of"): 70}
+    return _lexicon(spark, words, pairs, {"thamkole"})
+
+
+def test_corrections(spark, lex):
+    assert "fhall" not in {r.word for r in lex.words.collect()} and "filler" in lex.common and "sec" not in lex.common
+    cases = {
+        "fhall": "shall", "dcstroys": "destroys", "rnilitary": "military", "mi1itary": "military", "piiblic": "public", "6nited": "united", "secretary": None, "quilnorra": None, "1790": None, "of": None, "destroy": None,
+        "cornrnittee": "committee", "comrnittcc": "committee", "approprialian": "appropriation", "appropriotian": "appropriation",  # several edits
+        "thamkale": None, "appropriations": None, "x" * 200: None,
+        "to sec the": "see", "a sec b": None,  # a known word that its neighbours contradict
+        "the lankz of": None, "the landz of": "lands",  # another edit, where both neighbours fit
+    }
+    ordered = _ordered(spark, *[(f"g{i}", 1, t) for i, t in enumerate(cases)])
+    got = {r.item_id: r.fixed for r in ocr.repair(ordered, lex).fixes.collect()}
+    assert {t: got.get(i) for i, t in enumerate(cases)} == cases
+
+
+def test_neighbours_of_a_line_s_ends_are_in_the_lines_before_and_after(spark, lex):
+    ordered = _ordered(spark, ("g", 1, "Whoever destroys the"), ("g", 1, "landz"), ("g", 1, "of the president"), ("h", 1, "landz"))
+    assert rows(ocr.repair(ordered, lex).fixes.select("item_id", "fixed")) == [(1, "lands")]
+
+
+def test_planted_double_errors_are_repaired(spark):
+    """Words of the test data's own vocabulary with two usual confusions each."""
+    rng = random.Random(8)
+    ordered = ocr.in_order(queries._page_lines(spark, "/root/testdata/sf0.01"))
+    lex = ocr.learn(ordered)
+    right = sorted(r.word for r in lex.words.where("not name and n >= 20 and length(word) >= 7 and not contains(word, '-')").collect())
+    planted = {}
+    for w in right:
+        for _ in range(6):
+            read, at = w, 0
+            for _ in range(2):
+                places = [(i, p, r) for p, r in ocr.CONFUSIONS for i in range(at, len(read)) if read.startswith(p, i)]
+                if not places:
+                    break
+                i, p, r = rng.choice(places)
+                read, at = read[:i] + r + read[i + len(p) :], i + len(r)
+            else:
+                planted[read] = w
+    read = sorted(planted)
+    got = {r.item_id: r.fixed for r in ocr.repair(_ordered(spark, *[(f"g{i}", 1, t) for i, t in enumerate(read)]), lex).fixes.collect()}
+    share = sum(got.get(i) == planted[t] for i, t in enumerate(read)) / len(read)
+    assert len(read) > 140 and share >= 0.9, share
+
+
+def test_confusions_are_learned_from_the_corpus(spark):
+    letters = "bdfghlmprstvwz"
+    words = {f"{a}k{b}orane": 2000 for a in letters for b in letters[:4]}
+    counts = words | {w.replace("k", "x"): 20 for w in list(words)[:40]}  # a press whose k reads x
+    learned = _lexicon(spark, counts)
+    assert ("k", "x") in learned.usual and ("k", "q") not in learned.usual
+    odd = list(words)[50].replace("k", "x")
+    assert rows(ocr.repair(_ordered(spark, ("g", 1, odd)), learned).fixes.select("fixed")) == [(list(words)[50],)]
 
 
 @pytest.mark.parametrize(
@@ -262,24 +343,29 @@ def test_page_numbers():
     assert ocr.page_label("STATUTE-1-PgB1", 3) == "B3" and ocr.page_label(None, 1) is None and ocr.page_label("x", None) is None
 
 
-def _repair(voc, *texts, granule="STATUTE-9-Pg7"):
-    lines = [ocr.Line(i, p, t) for i, (p, t) in enumerate(texts)]
-    ocr.repair_granule(lines, granule, voc)
-    return lines
-
-
-def test_broken_words_go_on_behind_furniture_and_notices(voc):
-    a = _repair(voc, (1, "Whoever destroys obli-"), (1, "7"), (1, "By the Thamsaquay staff"), (2, "64 STAT. 8"), (2, "gations shall be fined"))
-    assert (a[0].joined, a[0].takes) == ("obligations", 4) and a[1].furniture and a[3].furniture and not a[2].furniture
-    assert _repair(voc, (1, "the Attorney-"), (1, "General of"))[0].joined == "attorney-general"
-    assert _repair(voc, (1, "duty\xad"), (1, "free lands"))[0].joined == "duty-free"
-    assert _repair(voc, (1, "applies to coast-"), (1, "and river-borne lands"))[0].joined is None
-    assert _repair(voc, (1, "are as follows—"), (1, "the lands"))[0].joined is None
-    assert _repair(voc, (1, "of Thamko-"), (1, "wick shall be"))[0].joined == "thamkowick"
-    assert _repair(voc, (1, "the mili-"), (1, "fary lands"))[0].joined == "military"  # misread in its second part
-    assert _repair(voc, (1, "last mili-"))[0].joined is None
-    b = _repair(voc, (1, "Whoever dcstroys mili-"), (1, "tary lauds alike"))
-    assert [w for _, w in b[0].fixes] == ["destroys"] and [w for _, w in b[1].fixes] == ["lands"]
+def test_broken_words_go_on_behind_furniture_and_notices(spark, lex):
+    cases = [
+        (["Whoever destroys obli-", "7", "By the Thamsaquay staff", "@64 STAT. 8", "@gations shall be fined"], ("obligations", 4), []),
+        (["the Attorney-", "General of"], ("attorney-general", 1), []),
+        (["duty\xad", "free lands"], ("duty-free", 1), []),
+        (["applies to coast-", "and river-borne lands"], None, []),
+        (["are as follows—", "the lands"], None, []),
+        (["of Thamko-", "wick shall be"], ("thamkowick", 1), []),
+        (["the mili-", "fary lands"], ("military", 1), []),  # misread in its second part
+        (["last mili-"], None, []),
+        (["Whoever dcstroys mili-", "tary lauds alike"], ("military", 1), ["destroys", "lands"]),
+        (["the secretary-", "(a) of records", "— and", "", "of"], None, []),
+    ]
+    flat = [(f"STATUTE-{k}-Pg7", 2 if t[:1] == "@" else 1, t.lstrip("@")) for k, (texts, *_) in enumerate(cases) for t in texts]
+    starts = [sum(len(c[0]) for c in cases[:k]) for k in range(len(cases))]
+    r = ocr.repair(_ordered(spark, *flat), lex)
+    joins, fixes = {x.item_id: (x.joined, x.taker) for x in r.joins.collect()}, defaultdict(list)
+    for x in r.fixes.orderBy("item_id", "at").collect():
+        fixes[x.item_id].append(x.fixed)
+    for at, (texts, want, misread) in zip(starts, cases, strict=True):
+        assert joins.get(at) == (want and (want[0], at + want[1])), texts
+        assert [w for i in range(len(texts)) for w in fixes[at + i]] == misread, texts
+    assert {f for f in rows(ocr.findings(r)) if f[1] == "furniture"} == {(1, "furniture", ""), (3, "furniture", "")}
 
 
 def test_repair_of_a_frame(spark):
@@ -288,36 +374,38 @@ def test_repair_of_a_frame(spark):
     items += [(100, "STATUTE-9-Pg500", 1, 1, "Whoever  dcstroys public rec-", None, 0), (101, "STATUTE-9-Pg500", 1, 2, "500", "500", 0), (101, "STATUTE-9-Pg500", 1, 2, "500", "500", 0), (102, "STATUTE-9-Pg500", 2, 3, None, "ords shall be fined.", 0), (103, None, 1, 1, "Whoever shall be", None, 0), (104, "STATUTE-9-Pg500", None, 1, "", "x", 0)]
     df = spark.createDataFrame(items, "item_id long, granule_id string, page_no int, item_no int, text string, orig string, _own int")
     lines = ocr.content_lines(df, F.trim("granule_id"), F.coalesce("text", "orig"))
-    voc = ocr.learn(lines, 0.01, 0.001)
-    assert {"whoever", "records"} <= set(voc.words)
-    repaired = ocr.repair_lines(lines, voc, texts=True)
+    ordered = ocr.in_order(lines)
+    lex = ocr.learn(ordered)
+    assert {"whoever", "records"} <= {r.word for r in lex.words.collect()}
+    repaired = ocr.repair(ordered, lex)
     assert rows(ocr.findings(repaired)) == [(100, "hyphen", "records"), (100, "misread", "destroys"), (101, "furniture", "")]
-    assert rows(ocr.findings(ocr.repair_lines(lines, voc))) == rows(ocr.findings(repaired))
     texts = {(r.granule, r.para_no): r.text for r in ocr.paragraphs_of(repaired).collect()}
     assert texts["STATUTE-9-Pg500", 1] == "Whoever destroys public records shall be fined."
-    aside = ocr.content_lines(df, F.trim("granule_id"), F.coalesce("text", "orig"), df.where("item_no = 1 and page_no = 1 and granule_id is null").select(F.col("item_id").alias("item")))
-    alone = {(r.granule, r.para_no): (r.text, r.notices) for r in ocr.paragraphs_of(ocr.repair_lines(aside, voc, texts=True)).collect()}
+    aside = ocr.in_order(ocr.content_lines(df, F.trim("granule_id"), F.coalesce("text", "orig"), df.where("item_no = 1 and page_no = 1 and granule_id is null").select(F.col("item_id").alias("item"))))
+    alone = {(r.granule, r.para_no): (r.text, r.notices) for r in ocr.paragraphs_of(ocr.repair(aside, lex)).collect()}
     assert alone["?103", 0] == ("", ["Whoever shall be"]) and alone["STATUTE-9-Pg500", 1][0] == texts["STATUTE-9-Pg500", 1]
-    empty = ocr.content_lines(df.limit(0), F.trim("granule_id"), F.col("text"))
-    assert ocr.findings(ocr.repair_lines(empty, ocr.learn(empty))).count() == 0
+    empty = ocr.in_order(ocr.content_lines(df.limit(0), F.trim("granule_id"), F.col("text")))
+    nothing = ocr.repair(empty, ocr.learn(empty))
+    assert ocr.findings(nothing).count() == 0 and ocr.paragraphs_of(nothing).count() == 0
 
 
-def test_paragraphs_go_on_behind_notices(spark):
+def test_paragraphs_go_on_behind_notices(spark, lex):
     texts = ["The secretary shall preserve obli-", "By the staff of Torkole", "64 STAT. 8", "gations of the secretary.", "SEC. 2. The secretary shall", "preserve obligations."]
-    df = spark.createDataFrame([(i, "STATUTE-9-Pg7", 1, i, t, None) for i, t in enumerate(texts)], "item_id long, granule_id string, page_no int, item_no int, text string, orig string")
-    words = {w: 1000 for w in ("the", "secretary", "shall", "preserve", "obligations", "of")}
-    got = ocr.paragraphs_of(ocr.repair_lines(ocr.content_lines(df, F.col("granule_id"), F.col("text")), ocr.Vocabulary(words, 10_000), texts=True))
+    got = ocr.paragraphs_of(ocr.repair(_ordered(spark, *[("STATUTE-9-Pg7", 1, t) for t in texts]), lex))
     assert [(r.para_no, r.text, r.notices) for r in got.orderBy("para_no").collect()] == [(1, "The secretary shall preserve obligations of the secretary.", ["By the staff of Torkole"]), (2, "SEC. 2. The secretary shall preserve obligations.", [])]
 
 
-def test_groups_of_pages_see_across_their_borders(spark):
+def test_groups_of_pages_see_across_their_borders(spark, lex):
     n = ocr.GROUP_PAGES * 3
-    items = [(p, "STATUTE-9-Pg1", p, 1, "the secretary shall preserve obli-" if p % 2 else "gations of the secretary", None) for p in range(1, n)]
-    df = spark.createDataFrame(items, "item_id long, granule_id string, page_no int, item_no int, text string, orig string")
-    lines = ocr.content_lines(df, F.col("granule_id"), F.col("text"))
-    words = {w: 1000 for w in ("the", "secretary", "shall", "preserve", "obligations", "of")}
-    got = ocr.findings(ocr.repair_lines(lines, ocr.Vocabulary(words, 10_000)))
-    assert rows(got) == sorted([(p, "hyphen", "obligations") for p in range(1, n - 1) if p % 2], key=str)
+    ordered = _ordered(spark, *[("STATUTE-9-Pg1", p, "the secretary shall preserve obli-" if p % 2 else "gations of the secretary") for p in range(1, n)])
+    r = ocr.repair(ordered, lex)
+    assert rows(ocr.findings(r)) == sorted([(p - 1, "hyphen", "obligations") for p in range(1, n - 1) if p % 2], key=str)
+    # one paragraph, though three groups of pages read it
+    got = ocr.paragraphs_of(r).collect()
+    assert [x.para_no for x in got] == [1] and got[0].text.count("obligations of the secretary") == n // 2 - 1
+    # a line behind pages of furniture only still knows the line before them
+    sparse = _ordered(spark, ("STATUTE-9-Pg1", 1, "the secretary shall preserve"), ("STATUTE-9-Pg1", ocr.GROUP_PAGES + 9, "the lands of the president."), ("STATUTE-9-Pg1", ocr.GROUP_PAGES + 9, "Sec. 2. The lands"))
+    assert [x.para_no for x in ocr.paragraphs_of(ocr.repair(sparse, lex)).orderBy("para_no").collect()] == [1, 2]
 
 
 # ---- 9
