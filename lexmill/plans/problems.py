@@ -55,25 +55,100 @@ from pairs where ref is not null and (pk is null or pdel is not null or pc > cre
 
 # ---- 2: deeply nested semi-structured records
 
-ITEM_TABLES = [Table(f"{k}", (f"{k}[].self_ref", f"{k}[].parent.$ref", f"{k}[].prov[].bbox.l"), 2, outer=True) for k in ("texts", "groups", "tables")]
+KINDS = ("texts", "groups", "tables")
+#: Leaves of each object, of its places, and of the other tables.
+OBJECT = ("self_ref", "parent.$ref", "label", "content_layer", "name", "level", "text", "orig")
+PLACE = ("page_no", "bbox.l", "bbox.t", "bbox.r", "bbox.b", "bbox.coord_origin")
+ITEM_TABLES = [Table(k, (f"{k}[].self_ref", f"{k}[].parent.$ref", f"{k}[].prov[].bbox.l"), 2, outer=True) for k in KINDS]
+OBJECT_TABLES = [Table(k, tuple(f"{k}[].{x}" for x in OBJECT), 1) for k in KINDS]
+PLACE_TABLES = [Table(k, tuple(f"{k}[].prov[].{x}" for x in PLACE), 2) for k in KINDS]
+CHILD_TABLES = [*[Table(k, (f"{k}[].children[].$ref",), 2) for k in KINDS], Table("body", ("body.children[].$ref",), 1)]
+PAGE_TABLES = [Table("pages", ("pages{}.$key", "pages{}.page_no", "pages{}.size.width", "pages{}.size.height"), 1)]
+CELL_TABLES = [Table("cells", ("tables[].data.grid[][].text",), 3)]
 SECTION_TABLES = [Table("sections", ("references[].contents[].sections[]",), 3)]
+SUMMARY = ("packageId", "collectionCode", "title", "congress", "session", "dateIssued", "pages", "download.pdfLink", "download.uslmLink")
+SUMMARY_TABLES = [Table("summary", SUMMARY, 0), Table("short_title", ("shortTitle[].title",), 1)]
+REFERENCE_TABLES = [Table("references", ("references[].collectionCode",), 1)]
+CONTENT_TABLES = [Table("contents", tuple(f"references[].contents[].{x}" for x in ("label", "title", "congress", "number", "type")), 2)]
+PAGE_REF_TABLES = [Table("pages", ("references[].contents[].pages[]",), 3)]
+
+
+def _layout(spark: SparkSession, d: str, tables: list[Table]) -> DataFrame:
+    return shred_tables(table(spark, d, "layout_docs"), {"granule_id": F.col("granule_id")}, "payload", "fetched_at", tables)
+
+
+def _summaries(spark: SparkSession, d: str, tables: list[Table]) -> DataFrame:
+    return shred_tables(table(spark, d, "plaw_summaries"), {"package_id": F.col("package_id")}, "payload", "fetched_at", tables)
+
+
+def _vals(names: list[str], at: int = 0) -> list[Column]:
+    return [F.col("vals")[at + i].alias(n) for i, n in enumerate(names)]
+
+
+def _idx(*names: str) -> list[Column]:
+    return [F.col("idx")[i].alias(n) for i, n in enumerate(names)]
+
+
+def _number(i: int) -> Column:
+    return F.round(F.expr(f"try_cast(vals[{i}] as decimal(28, 12))"), 4).cast("double")
 
 
 def p2_items(spark: SparkSession, d: str) -> DataFrame:
     """Layout objects, one row per place on a page: granule_id, kind, position, place, self_ref, parent_ref, l."""
-    src = table(spark, d, "layout_docs")
-    flat = shred_tables(src, {"granule_id": F.col("granule_id")}, "payload", "fetched_at", ITEM_TABLES)
-    return flat.select(
-        "granule_id", F.col("tbl").alias("kind"), F.col("idx")[0].alias("position"), F.col("idx")[1].alias("place"),
-        F.col("vals")[0].alias("self_ref"), F.col("vals")[1].alias("parent_ref"), F.round(F.expr("try_cast(vals[2] as decimal(28, 12))"), 4).cast("double").alias("l"),
-    )
+    return _layout(spark, d, ITEM_TABLES).select("granule_id", F.col("tbl").alias("kind"), *_idx("position", "place"), *_vals(["self_ref", "parent_ref"]), _number(2).alias("l"))
+
+
+def p2_objects(spark: SparkSession, d: str) -> DataFrame:
+    """Layout objects: granule_id, kind, position and every leaf. `self_ref` is what other objects' `parent_ref` and children refer to."""
+    return _layout(spark, d, OBJECT_TABLES).select("granule_id", F.col("tbl").alias("kind"), *_idx("position"), *_vals(["self_ref", "parent_ref", "label", "content_layer", "name", "level", "text", "orig"]))
+
+
+def p2_places(spark: SparkSession, d: str) -> DataFrame:
+    """Places of layout objects on pages; (granule_id, kind, position) is the object."""
+    sides = [_number(i + 1).alias(x) for i, x in enumerate("ltrb")]
+    return _layout(spark, d, PLACE_TABLES).select("granule_id", F.col("tbl").alias("kind"), *_idx("position", "place"), F.expr("try_cast(vals[0] as int)").alias("page_no"), *sides, F.col("vals")[5].alias("coord_origin"))
+
+
+def p2_children(spark: SparkSession, d: str) -> DataFrame:
+    """References to children, of objects (granule_id, kind, position) and of the body (position -1), in their order."""
+    body = F.col("tbl") == "body"
+    flat = _layout(spark, d, CHILD_TABLES)
+    return flat.select("granule_id", F.col("tbl").alias("kind"), F.when(body, -1).otherwise(F.col("idx")[0]).alias("position"), F.when(body, F.col("idx")[0]).otherwise(F.try_element_at("idx", F.lit(2))).alias("child"), F.col("vals")[0].alias("ref"))
+
+
+def p2_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of layouts with their sizes; `page_key` is the page's name in the record."""
+    return _layout(spark, d, PAGE_TABLES).select("granule_id", *_vals(["page_key"]), F.expr("try_cast(vals[1] as int)").alias("page_no"), _number(2).alias("width"), _number(3).alias("height"))
+
+
+def p2_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of tables: granule_id, position of the table, row, column, text."""
+    return _layout(spark, d, CELL_TABLES).select("granule_id", *_idx("position", "row", "column"), *_vals(["text"]))
+
+
+def p2_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """The packages' own leaves, one row per package."""
+    flat = _summaries(spark, d, SUMMARY_TABLES[:1])
+    return flat.select("package_id", *_vals(["summary_id", "collection", "title", "congress", "session", "date_issued", "pages", "pdf_link", "uslm_link"]))
+
+
+def p2_references(spark: SparkSession, d: str) -> DataFrame:
+    return _summaries(spark, d, REFERENCE_TABLES).select("package_id", *_idx("reference"), *_vals(["collection"]))
+
+
+def p2_contents(spark: SparkSession, d: str) -> DataFrame:
+    """Cited titles and laws; (package_id, reference) is their reference."""
+    return _summaries(spark, d, CONTENT_TABLES).select("package_id", *_idx("reference", "content"), *_vals(["label", "title", "congress", "number", "type"]))
+
+
+def p2_cited_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Cited pages; (package_id, reference, content) is what cites them."""
+    return _summaries(spark, d, PAGE_REF_TABLES).select("package_id", *_idx("reference", "content", "position"), *_vals(["page"]))
 
 
 def p2_sections(spark: SparkSession, d: str) -> DataFrame:
     """Cited sections: package_id, reference, content and element positions, section."""
-    src = table(spark, d, "plaw_summaries")
-    flat = shred_tables(src, {"package_id": F.col("package_id")}, "payload", "fetched_at", SECTION_TABLES)
-    return flat.select("package_id", F.col("idx")[0].alias("reference"), F.col("idx")[1].alias("content"), F.col("idx")[2].alias("position"), F.col("vals")[0].alias("section"))
+    return _summaries(spark, d, SECTION_TABLES).select("package_id", *_idx("reference", "content", "position"), *_vals(["section"]))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -124,6 +199,54 @@ select id granule_id, kind, position::int position, place::int place, o->>'self_
   round(try_cast(e->'bbox'->>'l' as decimal(28, 12)), 4)::double l from boxes
 """
 
+_OBJECTS = f"""
+layout as ({_JSON_LATEST.format(id='granule_id', table='layout_docs')}),
+lists as ({' union all '.join(f"select id, '{k}' kind, {_AS_LIST.format(x=f"(p->'{k}')")} l from layout" for k in KINDS)}),
+objects as (select id, kind, generate_subscripts(l, 1) - 1 position, unnest(l) o from lists)
+"""
+_SCALAR = "case when json_type({x}) = 'VARCHAR' then {x}->>'$' when json_type({x}) <> 'NULL' then {x}::varchar end"
+
+
+def _leaf(x: str) -> str:
+    return _SCALAR.format(x=f"({x})")
+
+
+def _sql_number(x: str) -> str:
+    return f"round(try_cast(({x}) as decimal(28, 12)), 4)::double"
+
+
+P2_OBJECTS_SQL = f"""
+with {_OBJECTS}
+select id granule_id, kind, position::int position, {_leaf("o->'self_ref'")} self_ref, case when json_type(o->'parent') = 'VARCHAR' then o->>'parent' else o->'parent'->>'$."$ref"' end parent_ref,
+  {', '.join(f"""{_leaf(f"o->'{x}'")} "{x}" """ for x in OBJECT[2:])} from objects
+"""
+_PLACES = "places as (select id, kind, position, generate_subscripts(l, 1) - 1 place, unnest(l) e from (select id, kind, position, " + _AS_LIST.format(x="(o->'prov')") + " l from objects))"
+P2_PLACES_SQL = f"""
+with {_OBJECTS}, {_PLACES}
+select id granule_id, kind, position::int position, place::int place, try_cast(e->>'page_no' as int) page_no, {', '.join(f"{_sql_number(f"e->'bbox'->>'{x}'")} {x}" for x in 'ltrb')}, {_leaf("e->'bbox'->'coord_origin'")} coord_origin from places
+"""
+P2_CHILDREN_SQL = f"""
+with {_OBJECTS}, every as (select id, kind, position, {_AS_LIST.format(x="(o->'children')")} l from objects union all select id, 'body', -1, {_AS_LIST.format(x="(p->'body'->'children')")} from layout)
+select id granule_id, kind, position::int position, (generate_subscripts(l, 1) - 1)::int child, unnest(l)->>'$."$ref"' as ref from every
+"""
+P2_PAGES_SQL = f"""
+with layout as ({_JSON_LATEST.format(id='granule_id', table='layout_docs')}),
+keys as (select id, p->'pages' ps, unnest(json_keys(p->'pages')) k from layout where json_type(p->'pages') = 'OBJECT'), one as (select id, k, json_extract(ps, '$."' || k || '"') e from keys)
+select id granule_id, k page_key, try_cast(e->>'page_no' as int) page_no, {_sql_number("e->'size'->>'width'")} width, {_sql_number("e->'size'->>'height'")} height from one
+"""
+P2_CELLS_SQL = f"""
+with {_OBJECTS}, grids as (select id, position, {_AS_LIST.format(x="(o->'data'->'grid')")} l from objects where kind = 'tables'),
+lines as (select id, position, generate_subscripts(l, 1) - 1 r, unnest(l) e from grids), cells as (select id, position, r, generate_subscripts(l, 1) - 1 c, unnest(l) e from (select id, position, r, {_AS_LIST.format(x='(e)')} l from lines))
+select id granule_id, position::int position, r::int "row", c::int "column", {_leaf("e->'text'")} as text from cells
+"""
+P2_SUMMARIES_SQL = f"""
+with summary as ({_JSON_LATEST.format(id='package_id', table='plaw_summaries')})
+select id package_id, {', '.join(f"{_leaf("p->'" + x.replace('.', "'->'") + "'")} {n}" for x, n in zip(SUMMARY, ('summary_id', 'collection', 'title', 'congress', 'session', 'date_issued', 'pages', 'pdf_link', 'uslm_link'), strict=True))} from summary
+"""
+P2_REFERENCES_SQL = f"{_P2} select id package_id, i::int reference, {_leaf("r->'collectionCode'")} collection from refs"
+P2_CONTENTS_SQL = f"{_P2} select id package_id, i::int reference, j::int content, {', '.join(f"""{_leaf(f"c->'{x}'")} "{x}" """ for x in ('label', 'title', 'congress', 'number', 'type'))} from cont"
+P2_CITED_SQL = f"{_P2}, pg as (select id, i, j, generate_subscripts(l, 1) - 1 n, unnest(l) e from (select id, i, j, {_AS_LIST.format(x="(c->'pages')")} l from cont)) select id package_id, i::int reference, j::int content, n::int position, {_leaf('e')} page from pg"
+
 # ---- 3: processing only new or changed records
 
 UNIT = ["unit_id", "profile", "page_range"]
@@ -202,7 +325,13 @@ def _path_key(c: Column) -> Column:
 
 
 def p5_diffs(spark: SparkSession, d: str) -> DataFrame:
-    """`hub_path, diffs`: the array of field, ledger value and Hub value."""
+    """`hub_path, diffs`: each row's differences as `field|ledger value|Hub value`, one behind the other."""
+    side = lambda x, n: F.coalesce(x[n], F.lit(""))
+    said = F.transform("diffs", lambda x: F.concat_ws("|", x["field"], side(x, "left_value"), side(x, "right_value")))
+    return _differences(spark, d).select("hub_path", F.array_join(said, ";").alias("diffs"))
+
+
+def _differences(spark: SparkSession, d: str) -> DataFrame:
     ledger = latest(table(spark, d, "file_decisions"), {"hub_path": _path_key(F.col("hub_path"))}, ["recorded_at"], ["expected", "local", "sha256"])
     hub = latest(table(spark, d, "hub_entries").where("size is not null"), {"hub_path": _path_key(F.col("hub_path"))}, ["committed_at"], ["size", "sha256"])
     fields = [
@@ -214,7 +343,7 @@ def p5_diffs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return diff_fields(p5_diffs(spark, d), "hub_path").select("hub_path", "field")
+    return diff_fields(_differences(spark, d), "hub_path").select("hub_path", "field")
 
 
 def _sql_path(c: str) -> str:
@@ -237,8 +366,17 @@ union all select hub_path, 'sha256' from b where in_l and in_h and ls <> hs
 union all select hub_path, 'local' from b where in_l and expected <> local
 """
 
+P5_DIFFS_SQL = f"""
+{P5_SQL.split("select hub_path, 'missing_on_hub'")[0]},
+v as (select hub_path, list_filter([
+  case when in_l and not in_h then 'missing_on_hub||' end, case when in_h and not in_l then 'missing_in_ledger||' end, case when in_l and in_h and expected <> size then 'size|' || expected || '|' || size end,
+  case when in_l and in_h and ls <> hs then 'sha256|' || ls || '|' || hs end, case when in_l and expected <> local then 'local|' || expected || '|' || local end], lambda x: x is not null) said from b)
+select hub_path, array_to_string(said, ';') diffs from v where len(said) > 0
+"""
+
 QUERIES = {
-    "p1_found": p1_found, "p1_report": p1_report, "p2_found": p2_found, "p2_items": p2_items, "p2_sections": p2_sections, "p3_found": p3_found, "p3_runs": p3_runs, "p5_found": p5_found, "p5_diffs": p5_diffs,
+    "p1_found": p1_found, "p1_report": p1_report, "p2_found": p2_found, "p2_items": p2_items, "p2_sections": p2_sections, "p2_objects": p2_objects, "p2_places": p2_places, "p2_children": p2_children, "p2_pages": p2_pages, "p2_cells": p2_cells,
+    "p2_summaries": p2_summaries, "p2_references": p2_references, "p2_contents": p2_contents, "p2_cited_pages": p2_cited_pages, "p3_found": p3_found, "p3_runs": p3_runs, "p5_found": p5_found, "p5_diffs": p5_diffs,
 }
 SQL = {
     "p1_found": P1_SQL,
@@ -246,7 +384,17 @@ SQL = {
     "p2_found": P2_SQL,
     "p2_sections": f"{_P2} select id package_id, i::int reference, j::int content, n::int position, s->>'$' section from secs",
     "p2_items": P2_ITEMS_SQL,
+    "p2_objects": P2_OBJECTS_SQL,
+    "p2_places": P2_PLACES_SQL,
+    "p2_children": P2_CHILDREN_SQL,
+    "p2_pages": P2_PAGES_SQL,
+    "p2_cells": P2_CELLS_SQL,
+    "p2_summaries": P2_SUMMARIES_SQL,
+    "p2_references": P2_REFERENCES_SQL,
+    "p2_contents": P2_CONTENTS_SQL,
+    "p2_cited_pages": P2_CITED_SQL,
     "p3_found": P3_SQL,
     "p3_runs": P3_RUNS_SQL,
     "p5_found": P5_SQL,
+    "p5_diffs": P5_DIFFS_SQL,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexmill.operators.diff import Field, diff_copies, diff_fields
 from lexmill.operators.incremental import CommitConflict, IntervalLedger, merge_intervals, number_arrivals, pending, subtract_intervals, to_intervals
 from lexmill.operators.references import hot_keys, orphan_references, orphan_report, validity_intervals
-from lexmill.operators.shred import Path, Table, decode, decoded, positions, rebuild, shred, shred_tables
+from lexmill.operators.shred import Path, Shredder, Table, decode, decoded, positions, rebuild, shred, shred_tables
 from lexmill.session import digest_key, entity_key, latest
 
 T = lambda day: D(2025, 1, day)
@@ -113,6 +113,18 @@ def test_round_trip_of_random_records_against_plain_loops():
         assert list(rebuild(columns, TABLES[1])) == want
 
 
+def test_maps_lists_of_lists_and_single_values():
+    rec = {"pages": {"2": {"n": 5}, "1": {"n": 6}, "x": 3}, "t": [{"grid": [[{"c": "a"}, {"c": "b"}], [], [{"c": 1}]]}, {"grid": {"c": "single"}}, {}], "parent": "p", "body": {"children": {"$ref": "r"}}}
+    tables = [Table("pages", ("pages{}.$key", "pages{}.n"), 1), Table("cells", ("t[].grid[][].c",), 3), Table("top", ("parent.$ref", "absent"), 0), Table("body", ("body.children[].$ref",), 1)]
+    columns = Shredder({x for t in tables for x in t.leaves})(rec)
+    got = {t.name: list(rebuild(columns, t)) for t in tables}
+    assert got["pages"] == [([0], ["2", "5"]), ([1], ["1", "6"]), ([2], ["x", None])]
+    assert got["cells"] == [([0, 0, 0], ["a"]), ([0, 0, 1], ["b"]), ([0, 2, 0], ["1"]), ([1, 0, 0], ["single"])]
+    assert got["top"] == [([], ["p", None])] and got["body"] == [([0], ["r"])]
+    # one walk gives the columns that a walk per path gives
+    assert all(Shredder([x])(rec)[x] == c for x, c in columns.items()) and shred(rec, "parent.$ref") == [(0, 2, "p")]
+
+
 @pytest.mark.parametrize("text", [None, "", "{", "[1]", "null", "3", '{"a": NaN}', '"{"', "{} x"])
 def test_unreadable_payloads(text):
     assert decode(text) is None
