@@ -331,6 +331,11 @@ def select_units(units: DataFrame, keep_ids: DataFrame | None = None, classes: S
     return out if limit is None else out.orderBy("pos").limit(limit)
 
 
+def distinct_values(rows: DataFrame, column: str) -> DataFrame:
+    """`value, n`: the distinct values of a column (not NULL) with their rows, such as granules or profiles."""
+    return rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+
+
 def combine_units(*parts: DataFrame) -> DataFrame:
     """All units of several lists, with repeated ones; columns missing in a list are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -7,41 +7,73 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Parts of 1 into which values are sorted for medians.
+MEDIAN_BINS = 1000
+
+
+def medians(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+    """`by, median`: exact medians per group, also of very large ones; NULL values don't count, groups without any are left out.
+
+    Equal values are counted, counts summed per bin, and the bin of the middle ranks found; only that bin's distinct values are sorted. No task has more than a
+    group's bins or one bin's distinct values.
+    """
+    per = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("v")).agg(F.count("*").alias("n")).withColumn("bin", F.floor(F.col("v") * MEDIAN_BINS))
+    bins = per.groupBy(*by, "bin").agg(F.sum("n").alias("n"))
+    group, upto = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    run = bins.select(*by, "bin", (F.sum("n").over(upto) - F.col("n")).alias("before"), F.sum("n").over(upto).alias("upto"), F.sum("n").over(group).alias("total"))
+    low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
+    middle = run.where((F.col("before") < high) & (F.col("upto") >= low)).select(*[F.col(c).alias(f"_{c}") for c in [*by, "bin"]], "before", "total")
+    inside = per.join(middle, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*by, "bin"]])
+    rank = F.col("before") + F.sum("n").over(Window.partitionBy(*by, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    at = inside.withColumn("rank", rank).groupBy(*by).agg(F.min(F.when(F.col("rank") >= low, F.col("v"))).alias("lo"), F.min(F.when(F.col("rank") >= high, F.col("v"))).alias("hi"))
+    return at.select(*by, ((F.col("lo") + F.col("hi")) / 2).alias("median"))
+
+
+def _with_medians(stats: DataFrame, rows: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    m = medians(rows, by, value).select(*[F.col(c).alias(f"_m_{c}") for c in by], F.col("median").alias(name))
+    return stats.join(m, [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in by], "left").drop(*[f"_m_{c}" for c in by])
+
+
+def _some(c: str) -> Column:
+    return F.sum(F.when(F.col(c) != 0, F.col(c)))
+
+
+_STATISTICS = ["n", "mean_cer", "median_cer", "mean_wer", "section_recall", "id_f1", "clip_both", "kept_ratio", "xsd_valid", "seconds_per_page", "judged", "judge_mean"]
+
+
 def run_statistics(rows: DataFrame, by: list[str]) -> DataFrame:
     """Statistics of benchmark rows (cer, wer, section_recall, id_f1, clip, kept_ratio, xsd_valid, seconds, pages, judge) per group; NULL groups are `?`.
 
     Medians are exact. Seconds per page divides the sum of the seconds there are by the sum of the pages there are; zeros and NULLs count in neither.
     """
-    some = lambda c: F.sum(F.when(F.col(c) != 0, F.col(c)))
-    return rows.groupBy(*[F.coalesce(F.col(c), F.lit("?")).alias(c) for c in by]).agg(*_statistics(some))
-
-
-def _statistics(some) -> list[Column]:
-    return [
-        F.count("*").alias("n"), F.avg("cer").alias("mean_cer"), F.median("cer").alias("median_cer"), F.avg("wer").alias("mean_wer"), F.avg("section_recall").alias("section_recall"),
+    named = rows.withColumns({c: F.coalesce(F.col(c), F.lit("?")) for c in by})
+    stats = named.groupBy(*by).agg(
+        F.count("*").alias("n"), F.avg("cer").alias("mean_cer"), F.avg("wer").alias("mean_wer"), F.avg("section_recall").alias("section_recall"),
         F.avg("id_f1").alias("id_f1"), F.count_if(F.col("clip") == "both").alias("clip_both"), F.min("kept_ratio").alias("kept_ratio"), F.count_if("xsd_valid").alias("xsd_valid"),
-        F.try_divide(some("seconds"), some("pages")).alias("seconds_per_page"), F.count("judge").alias("judged"), F.avg("judge").alias("judge_mean"),
-    ]
+        F.try_divide(_some("seconds"), _some("pages")).alias("seconds_per_page"), F.count("judge").alias("judged"), F.avg("judge").alias("judge_mean"),
+    )
+    return _with_medians(stats, named, by, "cer", "median_cer").select(*by, *_STATISTICS)
 
 
 def run_matrix(rows: DataFrame) -> DataFrame:
-    """Statistics by profile, tier and era, and by era alone (profile and tier `all`), in one pass over the rows."""
-    r = rows.select("*", *[F.coalesce(F.col(c), F.lit("?")).alias(f"_{c}") for c in ("profile", "era")], F.coalesce("tier", F.lit("B")).alias("_tier"))
-    some = lambda c: F.sum(F.when(F.col(c) != 0, F.col(c)))
-    keys = [F.col(f"_{c}") for c in ("profile", "tier", "era")]
-    g = r.groupingSets([keys, [keys[2]]], *keys).agg(F.grouping("_profile").alias("_g"), *_statistics(some))
-    label = lambda c: F.when(F.col("_g") == 1, "all").otherwise(F.col(f"_{c}")).alias(c)
-    return g.select(label("profile"), label("tier"), F.col("_era").alias("era"), *[c for c in g.columns if not c.startswith("_")])
+    """Statistics by profile, tier and era, and by era alone (profile and tier `all`)."""
+    r = rows.withColumn("tier", F.coalesce("tier", F.lit("B")))
+    every = F.lit("all")
+    parts = run_statistics(r, ["profile", "tier", "era"]), run_statistics(r, ["era"]).select(every.alias("profile"), every.alias("tier"), "era", *_STATISTICS)
+    return parts[0].unionByName(parts[1])
 
 
 def summarize_scores(scores: DataFrame, group: str = "period") -> DataFrame:
-    """Gold-set scores (cer, sidenote_cer) per group and for `all`. The total is told by grouping, never by a NULL group."""
-    keys = [F.col(group)]
-    g = scores.groupingSets([keys, []], *keys).agg(
-        F.grouping(group).alias("_all"), F.count("*").alias("pages"), F.count("cer").alias("scored"), (F.count("*") - F.count("cer")).alias("missing"),
-        F.avg("cer").alias("mean_cer"), F.median("cer").alias("median_cer"), F.count("sidenote_cer").alias("sidenote_pages"), F.avg("sidenote_cer").alias("sidenote_cer"),
-    )
-    return g.withColumn(group, F.when(F.col("_all") == 1, "all").otherwise(F.col(group))).drop("_all")
+    """Gold-set scores (cer, sidenote_cer) per group and for `all`. The total is told by its own aggregate, never by a NULL group."""
+
+    def of(rows: DataFrame) -> DataFrame:
+        stats = rows.groupBy(group).agg(
+            F.count("*").alias("pages"), F.count("cer").alias("scored"), (F.count("*") - F.count("cer")).alias("missing"),
+            F.avg("cer").alias("mean_cer"), F.count("sidenote_cer").alias("sidenote_pages"), F.avg("sidenote_cer").alias("sidenote_cer"),
+        )
+        return _with_medians(stats, rows, [group], "cer", "median_cer")
+
+    return of(scores).unionByName(of(scores.withColumn(group, F.lit("all"))))
 
 
 def candidate_texts(pages: DataFrame, texts: DataFrame) -> DataFrame:

@@ -605,7 +605,7 @@ def merge_paragraphs(spark: SparkSession, d: str) -> DataFrame:
 
 
 _RUNS = "b as (select l_returnflag profile, l_linestatus tier, year(l_shipdate)::varchar era, l_discount cer, l_tax wer, case when l_linenumber > 5 then null else l_quantity end section_recall, l_tax id_f1, case when l_linenumber = 1 then 'both' else 'none' end clip, l_discount kept_ratio, l_linenumber = 2 xsd_valid, l_quantity as seconds, l_linenumber pages, case when l_linenumber = 3 then l_quantity end judge from lineitem)"
-_STATS = "count(*) n, round(avg(cer), 6) mean_cer, round(median(cer), 6) median_cer, round(avg(wer), 6) mean_wer, round(avg(section_recall), 6) section_recall, count(*) filter (clip = 'both') clip_both, min(kept_ratio) kept_ratio, count(*) filter (xsd_valid) xsd_valid, round(sum(seconds) filter (seconds <> 0) / sum(pages) filter (pages <> 0), 6) seconds_per_page, count(judge) judged, round(avg(judge), 6) judge_mean"
+_STATS = "count(*) n, round(avg(cer), 6) mean_cer, round(median(cer), 6) median_cer, round(avg(wer), 6) mean_wer, round(avg(section_recall), 6) section_recall, round(avg(id_f1), 6) id_f1, count(*) filter (clip = 'both') clip_both, min(kept_ratio) kept_ratio, count(*) filter (xsd_valid) xsd_valid, round(sum(seconds) filter (seconds <> 0) / sum(pages) filter (pages <> 0), 6) seconds_per_page, count(judge) judged, round(avg(judge), 6) judge_mean"
 
 
 @query(f"with {_RUNS} select case when grouping(profile) = 1 then 'all' else profile end profile, case when grouping(tier) = 1 then 'all' else tier end tier, era, {_STATS} from b group by grouping sets ((profile, tier, era), (era))")
@@ -617,8 +617,8 @@ def run_matrix(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_tax").alias("id_f1"), F.when(n == 1, "both").otherwise("none").alias("clip"), F.col("l_discount").alias("kept_ratio"), (n == 2).alias("xsd_valid"), F.col("l_quantity").alias("seconds"), n.alias("pages"), F.when(n == 3, F.col("l_quantity")).alias("judge"),
     )
     m = report.run_matrix(b)
-    rounded = ["mean_cer", "median_cer", "mean_wer", "section_recall", "seconds_per_page", "judge_mean"]
-    return m.select(*[F.round(c, 6).alias(c) if c in rounded else F.col(c) for c in m.columns if c != "id_f1"])
+    rounded = ["mean_cer", "median_cer", "mean_wer", "section_recall", "id_f1", "seconds_per_page", "judge_mean"]
+    return m.select(*[F.round(c, 6).alias(c) if c in rounded else F.col(c) for c in m.columns])
 
 
 @query("""

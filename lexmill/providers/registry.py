@@ -79,11 +79,10 @@ def is_credit_error(message: Column) -> Column:
 
 
 def stop_on_credit(attempts: DataFrame, order: list[str]) -> DataFrame:
-    """Attempts up to the first credit error; later ones aren't made."""
-    from pyspark.sql.window import Window
-
-    seen = F.max(is_credit_error(F.coalesce("error", F.lit(""))).cast("int")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    return attempts.withColumn("_s", seen).where("coalesce(_s, 0) = 0").drop("_s")
+    """Attempts up to the first credit error; later ones aren't made. The first one is a single aggregate, then attempts are filtered where they lie."""
+    place = F.struct(*order)
+    first = attempts.where(is_credit_error(F.coalesce("error", F.lit("")))).agg(F.min(place))
+    return attempts.where(F.coalesce(place <= first.scalar(), F.lit(True)))
 
 
 register(Family("text", lambda variant: lambda row: (str(row.get("text") or ""), 1), "passes a unit's own text on"))

@@ -86,8 +86,8 @@ def file_tree(spark: SparkSession, path: str, with_digest: bool = False) -> Data
 
 
 def write_json_lines(rows: DataFrame, path: str, order: list[str]) -> None:
-    """Rows as JSON lines in order, columns by name, NULLs kept."""
-    rows.select(*sorted(rows.columns)).orderBy(*order).coalesce(1).write.option("ignoreNullFields", False).mode("overwrite").json(path)
+    """Rows as JSON lines in order, columns by name, NULLs kept: as many part files as a range shuffle has, to be read or joined in the order of their names."""
+    rows.select(*sorted(rows.columns)).orderBy(*order).write.option("ignoreNullFields", False).mode("overwrite").json(path)
 
 
 def write_documents(docs: DataFrame, path: str, profile: str = "profile") -> None:
