@@ -128,14 +128,15 @@ class Automaton:
                         if edge:
                             run(child, i, u, cost + EDGE)
                         if c and p != c:
-                            usual = (p, c) in single or c.isdigit() and p.isalpha()
-                            then = cost + (USUAL if usual else PLAIN if within[0] <= i < within[1] else EDGE)
+                            like = (p, c) in single or c.isdigit() and p.isalpha()
+                            then = cost + (USUAL if like else PLAIN if within[0] <= i < within[1] else EDGE)
                             if then <= most:
                                 run(child, i + 1, u, then)
-                    for p in merged.get(c, ()) if c else ():
+                    usual = c and cost + USUAL <= most
+                    for p in merged.get(c, ()) if usual else ():
                         if (child := node.get(p[0])) and (child := child.get(p[1])):
                             run(child, i + 1, u, cost + USUAL)
-                    for p in split.get(read[i : i + 2], ()):
+                    for p in split.get(read[i : i + 2], ()) if usual else ():
                         if child := node.get(p):
                             run(child, i + 2, u, cost + USUAL)
                 if i == n:
