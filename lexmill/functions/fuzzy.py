@@ -43,20 +43,57 @@ def ratio(a: str, b: str) -> float:
 
 
 def edit_distance(a: Sequence[Hashable], b: Sequence[Hashable]) -> int:
-    """Levenshtein distance of two sequences, by vertical differences kept as two integers."""
+    """Levenshtein distance of two sequences.
+
+    Equal ends are cut off; then bands around the diagonal are tried, each four times as wide as the one before, until the distance lies within. So the time grows with the length times the
+    distance, not with the square of the length.
+    """
+    first = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    a, b = a[first:], b[first:]
+    last = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b), strict=False)) if x != y), min(len(a), len(b)))
+    a, b = a[: len(a) - last], b[: len(b) - last]
     if not a or not b:
         return len(a) + len(b)
-    at, n = _positions(a), len(a)
-    every, top = (1 << n) - 1, 1 << n - 1
-    up, down, distance = every, 0, n
-    for x in b:
-        eq = at.get(x, 0)
-        diagonal = (((eq & up) + up) ^ up) | eq | down
-        right, left = down | ~(diagonal | up) & every, up & diagonal
-        distance += bool(right & top) - bool(left & top)
-        right = right << 1 | 1
-        up, down = (left << 1 | ~(diagonal | right)) & every, right & diagonal & every
-    return distance
+    band = max(64, 2 * abs(len(a) - len(b)))
+    while 4 * band < max(len(a), len(b)):
+        if (found := _banded_distance(a, b, band)) <= band:
+            return found
+        band *= 4
+    return _banded_distance(a, b, max(len(a), len(b)))
+
+
+#: Columns whose parts of the position masks are cut out together.
+STRETCH = 4096
+
+
+def _banded_distance(a: Sequence[Hashable], b: Sequence[Hashable], band: int) -> int:
+    """The distance, if it is at most `band`; else some larger number.
+
+    A column of the table is kept as two integers of vertical differences, for the rows within `band` of the diagonal; the window moves down one row per column (Hyyrö 2003). The distance
+    is followed along the window's last row, then along the last row of the table.
+    """
+    n, width = len(a), 2 * band + 1
+    every, at = (1 << width) - 1, _positions(a)
+    up, down = (1 << band + 1) - 1 << band, 0
+    score, cut, base = min(band, n), {}, 0
+    for j, x in enumerate(b, 1):
+        shift = j - band - 1  # rows before the window
+        if shift - base >= STRETCH:
+            cut, base = {}, shift
+        if x not in cut:
+            cut[x] = at.get(x, 0) >> base & (1 << width + STRETCH) - 1
+        eq = (cut[x] >> shift - base if shift > base else cut[x] if shift >= 0 else cut[x] << -shift) & every
+        diagonal = (((eq & up) + up) ^ up) & every | eq | down
+        right, left = down | ~(diagonal | up) & every, diagonal & up
+        if j + band <= n:
+            score += not diagonal >> width - 1
+        else:
+            row = n - j + band
+            if row < 0:
+                return band + 1
+            score += (right >> row & 1) - (left >> row & 1)
+        up, down = left | ~(diagonal >> 1 | right) & every, diagonal >> 1 & right
+    return score if n - len(b) <= band else band + 1
 
 
 @dataclass(frozen=True)

@@ -643,3 +643,58 @@ c as (select granule_id, sum(length({_sql_strip(f"regexp_replace(t, '{_SPACE}+',
 def source_characters(spark: SparkSession, d: str) -> DataFrame:
     """Characters of each granule's lines, blanks squashed."""
     return layout.source_chars(_items(spark, d).where("granule_id is not null")).withColumnRenamed("granule_id", "g").select(F.col("g").alias("granule_id"), "source_chars")
+
+
+# ---- transfers
+
+
+_HUB_PATH = "regexp_replace(trim(lower(hub_path)), '^(\\./|/)+', '')"
+_HUB_NOW = f"select {_HUB_PATH} path, size, sha256 from hub_entries where size is not null qualify row_number() over (partition by {_HUB_PATH} order by committed_at desc) = 1"
+
+
+@query(f"""
+with f as ({_HUB_NOW}), n as (select path, size, greatest(1, least(4, greatest(1, size // 100000))) n from f), p as (select path, size, n, unnest(range(0, n)) part from n where size > 0),
+r as (select path, part::int part, part * (size // n) + least(part, size % n) a, (part + 1) * (size // n) + least(part + 1, size % n) - 1 b from p),
+d as (select *, case when part = 0 then 10 when part = 1 then b - a + 1 when part = 2 then b - a + 2 end have from r),
+s as (select *, case when have is null then 'missing' when have < b - a + 1 then 'partial' when have = b - a + 1 then 'complete' else 'oversize' end state from d)
+select path, part, a "first", b "last", have, state, case when state = 'complete' then null when state = 'partial' then a + have else a end "start" from s""")
+def download_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Byte ranges still to be fetched of the Hub's files, where ten bytes of each first part are there, all of each second, and too many of each third."""
+    from lexmill.operators.transfers import part_plan
+
+    f = _hub_now(spark, d).select("path", "size")
+    length = F.col("last") - F.col("first") + 1
+    every = part_plan(f, spark.createDataFrame([], "path string, part int, have bigint"), 4, 100_000)
+    have = every.select("path", "part", F.when(F.col("part") == 0, F.lit(10)).when(F.col("part") == 1, length).when(F.col("part") == 2, length + 1).cast("bigint").alias("have")).where("have is not null")
+    return part_plan(f, have, 4, 100_000)
+
+
+def _hub_now(spark: SparkSession, d: str) -> DataFrame:
+    path = F.regexp_replace(text.strip(F.lower("hub_path")), r"^(\./|/)+", "")
+    return latest(table(spark, d, "hub_entries").where("size is not null"), {"path": path}, ["committed_at"], ["size", "sha256"])
+
+
+@query(f"""
+with h as ({_HUB_NOW}), l as (select {_HUB_PATH} path, expected, local, sha256 from file_decisions qualify row_number() over (partition by {_HUB_PATH} order by recorded_at desc) = 1)
+select l.path, case when expected is null then 'wait' when coalesce(h.size = expected, false) and coalesce(h.sha256 = l.sha256, true) then case when local is not null then 'clear' else 'done' end when coalesce(local = expected, false) then 'upload' else 'fetch' end step
+from l left join h using (path)""")
+def upload_steps(spark: SparkSession, d: str) -> DataFrame:
+    """The next step of each file of the ledger: upload, clear, fetch, done or wait."""
+    from lexmill.operators.transfers import upload_plan
+
+    path = F.regexp_replace(text.strip(F.lower("hub_path")), r"^(\./|/)+", "")
+    l = latest(table(spark, d, "file_decisions"), {"path": path}, ["recorded_at"], ["expected", "local", "sha256"])
+    h = _hub_now(spark, d).select("path", F.col("size").alias("hub_size"), F.col("sha256").alias("hub_sha256"))
+    return upload_plan(l.join(h, "path", "left"))
+
+
+@query("""
+with e as (select unit_id job_id, split_part(profile, ':', 1) flavor, status, seconds, started_at "at" from unit_results where started_at is not null),
+n as (select * from e qualify row_number() over (partition by job_id order by "at" desc, flavor desc, status desc, seconds desc) = 1)
+select job_id, flavor, status, seconds, case flavor when 'vlm' then round(1.8 * seconds / 3600, 4) when 'scanned' then round(0.6 * seconds / 3600, 4) end cost from n""")
+def job_costs(spark: SparkSession, d: str) -> DataFrame:
+    """Latest state and cost of jobs; flavors without a rate have none."""
+    from lexmill.operators.transfers import job_ledger
+
+    e = table(spark, d, "unit_results").where("started_at is not null").select(F.col("unit_id").alias("job_id"), ids.profile_family(F.col("profile")).alias("flavor"), "status", "seconds", F.col("started_at").alias("at"))
+    return job_ledger(e, spark.createDataFrame([("vlm", 1.8), ("scanned", 0.6)], "flavor string, hourly double"))
