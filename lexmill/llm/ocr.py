@@ -10,12 +10,14 @@ neighbours meet by joins. Nothing is decided by an absolute size of the corpus:
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -209,9 +211,13 @@ def alike(text: str) -> str:
     return text.translate(_ALIKE).upper()
 
 
+#: Characters one of which is among the last three of a running head that doesn't end with `Stat.`
+_TAIL = frozenset("0123456789lISOB]")
+
+
 def is_running_head(text: str) -> bool:
     """Whether a whole line is a running head."""
-    if len(text) > 90 or not any(c in "0123456789lISOB]" for c in text[-3:-1] + text[-1:]) and text[-5:-1].lower() not in ("stat", "sfat", "stot"):
+    if len(text) > 90 or _TAIL.isdisjoint(text[-3:]) and text[-5:-1].lower() not in ("stat", "sfat", "stot"):
         return False
     return HEADS.fullmatch(alike(text).rstrip(".,;:")) is not None
 
@@ -224,10 +230,17 @@ def is_page_number(text: str, page: str | None) -> bool:
     return m is not None and alike(m[1]) == alike(page)
 
 
-def page_label(granule: str | None, page_no: int | None) -> str | None:
-    """The printed number of a granule's page: its first page, from the id, and the pages since."""
+@functools.lru_cache(64)
+def first_page(granule: str | None) -> tuple[str, int] | None:
+    """Letter and number of a granule's first page, from its id."""
     m = GRANULE_PAGE.search(granule or "")
-    return m[1].upper() + str(int(m[2]) + page_no - 1) if m and page_no is not None else None
+    return (m[1].upper(), int(m[2])) if m else None
+
+
+def page_label(granule: str | None, page_no: int | None) -> str | None:
+    """The printed number of a granule's page: its first page, and the pages since."""
+    first = first_page(granule)
+    return first[0] + str(first[1] + page_no - 1) if first and page_no is not None else None
 
 
 # ---- lines in reading order
@@ -294,16 +307,17 @@ class Line:
 
 def read_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Line]]:
     """The lines of each group in order, without furniture."""
-    at, lines = None, []
+    at, group, lines, find = None, None, [], WORD.findall
     for b in batches:
-        for granule, grp, own, item, text, aside, furniture in zip(*(b.column(c).to_pylist() for c in ("granule", "grp", "own", "item_id", "text", "aside", "furniture")), strict=True):
-            if (granule, grp) != at:
+        b = b.filter(pc.invert(b.column("furniture")))
+        for granule, grp, own, item, text, aside in zip(*(b.column(c).to_pylist() for c in ("granule", "grp", "own", "item_id", "text", "aside")), strict=True):
+            if granule != at or grp != group:
                 if lines:
                     yield lines
-                at, lines = (granule, grp), []
-            if not furniture:
-                m, words = BROKEN.search(text) if text[-1:] in BREAKS else None, WORD.findall(text)
-                lines.append(Line(own, aside, item, words, words[0] if words and text.startswith(words[0]) else "", m[1] if m else None))
+                at, group, lines = granule, grp, []
+            words = find(text)
+            tail = words[-1] if words and text[-1] in BREAKS and text.endswith(words[-1], 0, -1) else None
+            lines.append(Line(own, aside, item, words, words[0] if words and text.startswith(words[0]) else "", tail))
     if lines:
         yield lines
 
@@ -317,24 +331,28 @@ def count_words(ordered: DataFrame) -> DataFrame:
     """`a, b, n, small`: occurrences of words (b NULL; `small`: with a small initial) and of pairs of neighbours in a line. Halves of broken words don't count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, small, pairs = Counter(), Counter(), Counter()
+        printed, pairs = Counter(), Counter()
 
         def flush() -> pa.RecordBatch:
-            a = [*words, *(p[0] for p in pairs)]
-            b = [*[None] * len(words), *(p[1] for p in pairs)]
-            columns = [pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array([*words.values(), *pairs.values()], pa.int64()), pa.array([*(small[w] for w in words), *[0] * len(pairs)], pa.int64())]
-            for c in (words, small, pairs):
-                c.clear()
+            words, small, low = Counter(), Counter(), Counter()
+            for w, n in printed.items():
+                words[w.lower()] += n
+                small[w] += n if w[0].islower() else 0
+            for (x, y), n in pairs.items():
+                low[x.lower(), y.lower()] += n
+            a = [*words, *(p[0] for p in low)]
+            b = [*[None] * len(words), *(p[1] for p in low)]
+            columns = [pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array([*words.values(), *low.values()], pa.int64()), pa.array([*(small[w] for w in words), *[0] * len(low)], pa.int64())]
+            printed.clear()
+            pairs.clear()
             return pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "small"])
 
         for lines in read_groups(batches):
             goes_on = False
             for x in lines:
                 if x.own:
-                    printed = x.words[bool(goes_on) and not x.aside : len(x.words) - bool(x.broken)]
-                    ws = [w.lower() for w in printed]
-                    words.update(ws)
-                    small.update([w for w in printed if w[0].islower()])
+                    ws = x.words[bool(goes_on) and not x.aside : len(x.words) - bool(x.broken)]
+                    printed.update(ws)
                     pairs.update(zip(ws, ws[1:], strict=False))
                 goes_on = goes_on if x.aside else x.broken
             if len(pairs) > FLUSH:
@@ -378,9 +396,9 @@ def lexicon(counts: DataFrame, min_count: int = MIN_COUNT) -> Lexicon:
     rarer = found.where(F.col("n") >= DOMINANCE * F.col("nf"))
     # substitutions that come up again and again between rare forms and common words are usual, too
     edits = rarer.select(_one_edit(F.col("word"), F.col("form")).alias("e"), "nf").where("e is not null").groupBy("e").agg(F.sum("nf").alias("mass"), F.count("*").alias("pairs"))
-    edits = cut(edits)
-    mass = edits.agg(F.sum("mass")).first()[0] or 0
-    more = [(r.p, r.r) for r in edits.where((F.col("mass") >= LEARNED_SHARE * mass) & (F.col("pairs") >= LEARNED_PAIRS)).select("e.*").collect()]  # at most 1 / LEARNED_SHARE
+    edits = edits.select("e.*", "mass", "pairs").collect()  # at most one row per pair of characters
+    mass = sum(r.mass for r in edits)
+    more = [(r.p, r.r) for r in edits if r.mass >= LEARNED_SHARE * mass and r.pairs >= LEARNED_PAIRS]
     usual = sorted({*CONFUSIONS, *more})
     if set(more) - set(CONFUSIONS):
         found = cut(look_up(inner.select("form"), _targets(words), usual).join(inner, "form").join(words.select("word", "n"), "word"))
@@ -427,30 +445,32 @@ def examine(ordered: DataFrame, common: frozenset[str]) -> DataFrame:
     types = [pa.string(), pa.int64(), pa.int32(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.string()]
     known = ordered.sparkSession.sparkContext.broadcast(common)
 
-    def word_rows(lines: list[Line], k: int) -> Iterator[tuple]:
+    def word_rows(lines: list[Line], k: int, have: frozenset[str]) -> Iterator[tuple]:
         x = lines[k]
         low = [w.lower() for w in x.words]
         behind = bool(k and lines[k - 1].broken)
-        for i, w in enumerate(low):
-            if w in known.value or len(w) < MIN_LETTERS or len(w) > MAX_LETTERS or "-" in w or w.isdigit():
+        for i in [i for i, w in enumerate(low) if w not in have]:
+            w = low[i]
+            if len(w) < MIN_LETTERS or len(w) > MAX_LETTERS or "-" in w or w.isdigit():
                 continue
             edge = "first" if behind and not i else "last" if x.broken and i == len(low) - 1 else None
             before = low[i - 1] if i else lines[k - 1].words[-1].lower() if k and not behind and lines[k - 1].words else ""
             after = low[i + 1] if i + 1 < len(low) else lines[k + 1].words[0].lower() if k + 1 < len(lines) and not x.broken and lines[k + 1].words else ""
             yield "w", x.item, i, x.words[i], w, before, after, edge, None, None, None
 
-    def join_rows(lines: list[Line], k: int) -> Iterator[tuple]:
+    def join_rows(lines: list[Line], k: int, have: frozenset[str]) -> Iterator[tuple]:
         tail, n = lines[k].broken, 0
         for j in range(k + 1, len(lines)):
             y = lines[j]
             yield "j", lines[k].item, n, None, None, None, None, None, y.item, tail, y.head
             n += 1
             # `coast- and river-borne`: nothing goes on; nor behind another broken word, nor behind a word that is surely whole
-            if y.head in SUSPENDED or y.broken or y.head and (tail + y.head).lower() in known.value:
+            if y.head in SUSPENDED or y.broken or y.head and (tail + y.head).lower() in have:
                 return
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
+        have = known.value
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True)) or [[]] * len(names)
@@ -462,12 +482,12 @@ def examine(ordered: DataFrame, common: frozenset[str]) -> DataFrame:
             lines = [x for x in every if not x.aside]
             for k, x in enumerate(lines):
                 if x.own:
-                    out.extend(word_rows(lines, k))
+                    out.extend(word_rows(lines, k, have))
                     if x.broken:
-                        out.extend(join_rows(lines, k))
+                        out.extend(join_rows(lines, k, have))
             for x in every:
                 if x.own and x.aside:
-                    out.extend(word_rows([x], 0))
+                    out.extend(word_rows([x], 0, have))
             if len(out) > 20_000:
                 yield flush()
         yield flush()
@@ -497,7 +517,7 @@ def repair(ordered: DataFrame, lex: Lexicon) -> Repairs:
     taken, done = joined.select(F.col("taker").alias("item_id")), joined.select("item_id")
     first, last = F.col("edge") == "first", F.col("edge") == "last"
     open_ = fixes.where("edge is null").unionByName(fixes.where(first).join(taken, "item_id", "left_anti")).unionByName(fixes.where(last).join(done, "item_id", "left_anti"))
-    return Repairs(ordered, joined, cut(open_.select("item_id", "at", "printed", "fixed")))
+    return Repairs(ordered, joined, open_.select("item_id", "at", "printed", "fixed"))
 
 
 def _misread(words: DataFrame, found: DataFrame, lex: Lexicon) -> DataFrame:
