@@ -179,23 +179,23 @@ def ordinal(c: Column) -> Column:
 
 
 # Headings in capitals before a dash, and of sections.
-_DASH_HEADING = r"(?s)^([A-Z][A-Z0-9 ,;'’\-]{2,}?)\.\s*[-—–]+\s*(.*)$"
-_SECTION_HEADING = r"(?s)^([A-Z0-9][A-Z0-9 ,;:'’\-()]{3,}?\.)(?:\s+(.*))?$"
+DASH_HEADING = r"(?s)^([A-Z][A-Z0-9 ,;'’\-]{2,}?)\.\s*[-—–]+\s*(.*)$"
+SECTION_HEADING = r"(?s)^([A-Z0-9][A-Z0-9 ,;:'’\-()]{3,}?\.)(?:\s+(.*))?$"
 
 
 def split_heading(c: Column) -> Column:
     """`IN GENERAL.-For purposes` as heading and text."""
-    hit = c.rlike(_DASH_HEADING)
+    hit = c.rlike(DASH_HEADING)
     return F.struct(
-        F.when(hit, F.concat(strip(F.regexp_extract(c, _DASH_HEADING, 1)), F.lit("."))).alias("heading"),
-        F.when(hit, strip(F.regexp_extract(c, _DASH_HEADING, 2))).otherwise(c).alias("text"),
+        F.when(hit, F.concat(strip(F.regexp_extract(c, DASH_HEADING, 1)), F.lit("."))).alias("heading"),
+        F.when(hit, strip(F.regexp_extract(c, DASH_HEADING, 2))).otherwise(c).alias("text"),
     )
 
 
 def split_section_heading(c: Column) -> Column:
     """A leading run of capitals that ends with a period is the heading."""
-    hit = c.rlike(_SECTION_HEADING)
-    return F.struct(F.when(hit, strip(F.regexp_extract(c, _SECTION_HEADING, 1))).alias("heading"), F.when(hit, strip(F.regexp_extract(c, _SECTION_HEADING, 2))).otherwise(c).alias("text"))
+    hit = c.rlike(SECTION_HEADING)
+    return F.struct(F.when(hit, strip(F.regexp_extract(c, SECTION_HEADING, 1))).alias("heading"), F.when(hit, strip(F.regexp_extract(c, SECTION_HEADING, 2))).otherwise(c).alias("text"))
 
 
 #: What a level's number looks like in its text, and the characters a number's value has (fixed values).
