@@ -251,11 +251,10 @@ GROUP = ["granule", "grp"]
 
 
 def content_lines(items: DataFrame, granule: Column, text: Column, notices: DataFrame | None = None) -> DataFrame:
-    """`granule, page_no, item_no, item_id, text, aside`: lines with single blanks. Lines without text are left out; a line without a granule is its own. Items in
+    """`granule, page_no, item_no, item_id, text, aside`: the lines. NULL texts are left out; a line without a granule is its own. Items in
     `notices` (`item`) stand aside: no word goes on in them, and paragraphs go on behind them."""
-    flat = F.trim(F.regexp_replace(text, r"[\s\xA0]+", " "))
     own = F.concat(F.lit("?"), F.coalesce(F.col("item_id").cast("string"), F.lit("")))
-    lines = items.select(F.coalesce(granule, own).alias("granule"), "page_no", "item_no", "item_id", flat.alias("text")).where("text != ''")
+    lines = items.select(F.coalesce(granule, own).alias("granule"), "page_no", "item_no", "item_id", text.alias("text")).where("text is not null")
     if notices is None:
         return lines.withColumn("aside", F.lit(False))
     known = notices.select(F.col("item").alias("_item")).distinct().withColumn("aside", F.lit(True))
@@ -263,36 +262,107 @@ def content_lines(items: DataFrame, granule: Column, text: Column, notices: Data
 
 
 ORDERED = "granule string, grp int, own boolean, page_no int, item_no int, item_id long, text string, aside boolean, furniture boolean"
+COUNTED = "a string, b string, n long, small long"
+#: Distinct words and pairs that a task counts before it hands them on.
+FLUSH = 200_000
 
 
-def in_order(lines: DataFrame) -> DataFrame:
-    """The lines of each group of pages in reading order, group by group, with `furniture`; `own` lines belong to the group, the others are pages of its neighbours. A long granule
+@dataclass
+class Pages:
+    """`lines` (ORDERED): the lines of each group of pages in reading order, group by group; `own` lines belong to the group, the others are pages of its neighbours. `counts` (COUNTED): occurrences of
+    words (b NULL; `small`: with a small initial) and of pairs of neighbours in a line, without the halves of broken words."""
+
+    lines: DataFrame
+    counts: DataFrame
+
+
+class Tally:
+    """Words and pairs as printed, until they are handed on."""
+
+    def __init__(self) -> None:
+        self.words: Counter = Counter()
+        self.pairs: Counter = Counter()
+        self.group: tuple | None = None
+        self.goes_on = False
+
+    def add(self, group: tuple, own: bool, aside: bool, text: str) -> None:
+        """The next line of running text, or a notice."""
+        if group != self.group:
+            self.group, self.goes_on = group, False
+        words = WORD.findall(text)
+        tail = tail_of(text, words)
+        if own:
+            ws = words[self.goes_on and not aside : len(words) - (tail is not None)]
+            self.words.update(ws)
+            self.pairs.update(zip(ws, ws[1:], strict=False))
+        if not aside:
+            self.goes_on = tail is not None
+
+    def hand_on(self) -> list[pa.Array]:
+        words, small, pairs = Counter(), Counter(), Counter()
+        for w, n in self.words.items():
+            words[w.lower()] += n
+            small[w] += n if w[0].islower() else 0
+        for (x, y), n in self.pairs.items():
+            pairs[x.lower(), y.lower()] += n
+        self.words.clear()
+        self.pairs.clear()
+        a, b = [*words, *(p[0] for p in pairs)], [*[None] * len(words), *(p[1] for p in pairs)]
+        return [pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array([*words.values(), *pairs.values()], pa.int64()), pa.array([*(small[w] for w in words), *[0] * len(pairs)], pa.int64())]
+
+
+def tail_of(text: str, words: list[str]) -> str | None:
+    """The word that a line breaks off at its end."""
+    return words[-1] if words and text[-1] in BREAKS and text.endswith(words[-1], 0, -1) else None
+
+
+def in_order(lines: DataFrame) -> Pages:
+    """Lines in reading order, with single blanks and `furniture`, and the counts of their words. Blank lines are left out. A long granule
     has several groups, so no task needs a whole granule. Repeated rows of an item count once; NULL page numbers stand before others, and a line there is furniture only as a running head.
 
-    Written to the checkpoint folder: every further step reads it there, in this order.
+    Both come from one pass over the lines, and are written to the checkpoint folder, where every further step reads them in this order.
     """
     page = F.coalesce("page_no", F.lit(0))
     at, group = F.pmod(page, F.lit(GROUP_PAGES)), F.floor(page / GROUP_PAGES).cast("int")
     groups = F.array_compact(F.array(group, F.when((at < SEEN_AFTER) & (group != 0), group - 1), F.when(at >= GROUP_PAGES - SEEN_BEFORE, group + 1)))
     spread = lines.select("granule", "page_no", "item_no", "item_id", "text", "aside", group.alias("_mine"), F.explode(groups).alias("grp")).withColumn("own", F.col("_mine") == F.col("grp"))
-    columns = [x.split()[0] for x in ORDERED.split(", ")]
+    columns, counted = ([x.split()[0] for x in t.split(", ")] for t in (ORDERED, COUNTED))
     sorted_ = spread.select(*columns[:-1]).repartition(*GROUP).sortWithinPartitions(*GROUP, "page_no", "item_no", "item_id", "text")
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, tally, empty = None, Tally(), None
+
+        def counts() -> pa.RecordBatch:
+            found = tally.hand_on()
+            return pa.RecordBatch.from_arrays([*[pa.nulls(len(found[0]), t) for t in empty], *found], names=[*columns, *counted])
+
         for b in batches:
-            granules, grps, pages, items, texts = (b.column(c).to_pylist() for c in ("granule", "grp", "page_no", "item_id", "text"))
-            keep, flags = [], []
-            for i, line in enumerate(zip(granules, grps, items, texts, strict=True)):
-                if line == last:
+            granules, grps, owns, pages, items, texts, asides = (b.column(c).to_pylist() for c in ("granule", "grp", "own", "page_no", "item_id", "text", "aside"))
+            keep, flags, flat = [], [], []
+            for i, raw in enumerate(texts):
+                text = " ".join(raw.split())
+                line = (granules[i], grps[i], items[i], text)
+                if not text or line == last:
                     continue
                 last = line
+                furniture = is_running_head(text) or is_page_number(text, page_label(granules[i], pages[i]))
                 keep.append(i)
-                flags.append(is_running_head(texts[i]) or is_page_number(texts[i], page_label(granules[i], pages[i])))
-            b = b.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(flags, pa.bool_())], names=columns)
-
-    return cut(sorted_.mapInArrow(mark, ORDERED))
+                flags.append(furniture)
+                flat.append(text)
+                if not furniture:
+                    tally.add((granules[i], grps[i]), owns[i], asides[i], text)
+            b = b.take(pa.array(keep, pa.int64())).set_column(6, "text", pa.array(flat, pa.string()))
+            none = [pa.nulls(len(keep), t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(flags, pa.bool_()), *none], names=[*columns, *counted])
+            empty = [*(c.type for c in b.columns), pa.bool_()]
+            if len(tally.pairs) > FLUSH:
+                yield counts()
+        if empty:
+            yield counts()
+
+    both = cut(sorted_.mapInArrow(read, f"{ORDERED}, {COUNTED}"))
+    counts = both.where("n is not null").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("small").alias("small"))
+    return Pages(both.where("n is null").select(*columns), counts)
 
 
 @dataclass(slots=True)
@@ -316,53 +386,13 @@ def read_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Line]]:
                     yield lines
                 at, group, lines = granule, grp, []
             words = find(text)
-            tail = words[-1] if words and text[-1] in BREAKS and text.endswith(words[-1], 0, -1) else None
-            lines.append(Line(own, aside, item, words, words[0] if words and text.startswith(words[0]) else "", tail))
+            lines.append(Line(own, aside, item, words, words[0] if words and text.startswith(words[0]) else "", tail_of(text, words)))
     if lines:
         yield lines
 
 
 # ---- the corpus's own language
 
-FLUSH = 200_000
-
-
-def count_words(ordered: DataFrame) -> DataFrame:
-    """`a, b, n, small`: occurrences of words (b NULL; `small`: with a small initial) and of pairs of neighbours in a line. Halves of broken words don't count."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        printed, pairs = Counter(), Counter()
-
-        def flush() -> pa.RecordBatch:
-            words, small, low = Counter(), Counter(), Counter()
-            for w, n in printed.items():
-                words[w.lower()] += n
-                small[w] += n if w[0].islower() else 0
-            for (x, y), n in pairs.items():
-                low[x.lower(), y.lower()] += n
-            a = [*words, *(p[0] for p in low)]
-            b = [*[None] * len(words), *(p[1] for p in low)]
-            columns = [pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array([*words.values(), *low.values()], pa.int64()), pa.array([*(small[w] for w in words), *[0] * len(low)], pa.int64())]
-            printed.clear()
-            pairs.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "small"])
-
-        for lines in read_groups(batches):
-            goes_on = False
-            for x in lines:
-                if x.own:
-                    ws = x.words[bool(goes_on) and not x.aside : len(x.words) - bool(x.broken)]
-                    printed.update(ws)
-                    pairs.update(zip(ws, ws[1:], strict=False))
-                goes_on = goes_on if x.aside else x.broken
-            if len(pairs) > FLUSH:
-                yield flush()
-        yield flush()
-
-    counts = ordered.select(*[c for c in ordered.columns if c not in ("page_no", "item_no")]).mapInArrow(run, "a string, b string, n long, small long")
-    return counts.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("small").alias("small"))
-
-
 @dataclass
 class Lexicon:
     """`words` (word, n, name), `forms` (form, n: all that occur), `pairs` (a, b, n), the usual confusions, and common words that are never in doubt."""
@@ -380,13 +410,13 @@ def _one_edit(word: Column, form: Column) -> Column:
     return F.when((F.length(word) == F.length(form)) & (F.size(at) == 1), F.struct(F.substr(word, at[0], F.lit(1)).alias("p"), F.substr(form, at[0], F.lit(1)).alias("r")))
 
 
-def learn(ordered: DataFrame, min_count: int = MIN_COUNT) -> Lexicon:
+def learn(pages: Pages, min_count: int = MIN_COUNT) -> Lexicon:
     """The lexicon of all lines."""
-    return lexicon(cut(count_words(ordered)), min_count)
+    return lexicon(cut(pages.counts), min_count)
 
 
 def lexicon(counts: DataFrame, min_count: int = MIN_COUNT) -> Lexicon:
-    """The lexicon from counts as of count_words. A form with `min_count` occurrences is a word, unless it is a misreading of a much commoner one."""
+    """The lexicon from counts as of Pages. A form with `min_count` occurrences is a word, unless it is a misreading of a much commoner one."""
     single = counts.where(F.col("b").isNull() & (F.col("n") >= min_count) & ~F.col("a").rlike("^[0-9]*$") & (F.length("a") <= MAX_LETTERS))
     total = counts.where("b is null").agg(F.sum("n")).first()[0] or 0
     name = (F.col("small") < SMALL_SHARE * F.col("n")) & (F.col("n") < NAME_SHARE * total)
@@ -438,12 +468,12 @@ class Repairs:
 SEEN = "kind string, item_id long, at int, printed string, form string, before string, after string, edge string, taker long, tail string, head string"
 
 
-def examine(ordered: DataFrame, common: frozenset[str]) -> DataFrame:
+def examine(lines: DataFrame, common: frozenset[str]) -> DataFrame:
     """What has to be looked up, in reading order (SEEN): words (`kind` w) that aren't common, with their neighbours, also in the lines before and after; `edge` says that a word begins a line behind a broken
     one, or ends a broken one. And the lines (`kind` j) that may go on with the broken word of a line, up to one where nothing can go on."""
     names = [x.split()[0] for x in SEEN.split(", ")]
     types = [pa.string(), pa.int64(), pa.int32(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.string()]
-    known = ordered.sparkSession.sparkContext.broadcast(common)
+    known = lines.sparkSession.sparkContext.broadcast(common)
 
     def word_rows(lines: list[Line], k: int, have: frozenset[str]) -> Iterator[tuple]:
         x = lines[k]
@@ -492,16 +522,16 @@ def examine(ordered: DataFrame, common: frozenset[str]) -> DataFrame:
                 yield flush()
         yield flush()
 
-    return ordered.select(*[c for c in ordered.columns if c not in ("page_no", "item_no")]).mapInArrow(run, SEEN)
+    return lines.select(*[c for c in lines.columns if c not in ("page_no", "item_no")]).mapInArrow(run, SEEN)
 
 
-def repair(ordered: DataFrame, lex: Lexicon) -> Repairs:
+def repair(pages: Pages, lex: Lexicon) -> Repairs:
     """What is broken and misread in the lines of in_order.
 
     A known word is only corrected along usual confusions, and if both neighbours fit another reading DOMINANCE times better. An unknown form is corrected to a word DOMINANCE times as common along usual confusions, of
     which a long word may have several; one other substitution within it is accepted in a word of ten letters, or, with any other single edit, where both neighbours fit.
     """
-    seen = cut(examine(ordered, lex.common))
+    seen = cut(examine(pages.lines, lex.common))
     words, whole = seen.where("kind = 'w'"), F.lower(F.concat("tail", "head"))
     joins = seen.where("kind = 'j'").select("item_id", "at", "taker", "head", F.col("tail"), whole.alias("plain"), F.lower(F.concat_ws("-", "tail", "head")).alias("compound"))
     asked = words.select("form").union(joins.select(F.explode(F.array("plain", "compound")))).distinct()
@@ -517,7 +547,7 @@ def repair(ordered: DataFrame, lex: Lexicon) -> Repairs:
     taken, done = joined.select(F.col("taker").alias("item_id")), joined.select("item_id")
     first, last = F.col("edge") == "first", F.col("edge") == "last"
     open_ = fixes.where("edge is null").unionByName(fixes.where(first).join(taken, "item_id", "left_anti")).unionByName(fixes.where(last).join(done, "item_id", "left_anti"))
-    return Repairs(ordered, joined, open_.select("item_id", "at", "printed", "fixed"))
+    return Repairs(pages.lines, joined, open_.select("item_id", "at", "printed", "fixed"))
 
 
 def _misread(words: DataFrame, found: DataFrame, lex: Lexicon) -> DataFrame:
