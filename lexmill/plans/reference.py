@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import fuzzy, ids, markers, text, xml
 from lexmill.operators import catalog, layout, metrics, report, sampling, shred
+from lexmill.plans import problems
 from lexmill.session import latest, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -235,15 +236,28 @@ def _summaries(spark: SparkSession, d: str) -> DataFrame:
     return raw.select("package_id", catalog.parse_summary(F.col("payload")).alias("s"))
 
 
+#: What the summaries cite of the collection of statutes, in order: volume and pages of each entry.
+_CITED = f"""{problems._P2},
+st as (select cont.id, cont.c, row_number() over (partition by cont.id order by cont.i, cont.j) pos from cont join refs on cont.id = refs.id and cont.i = refs.i where refs.r->>'collectionCode' = 'STATUTE'),
+e as (select id, pos, try_cast(trim(c->>'title') as int) v, list_filter(list_transform({problems._AS_LIST.format(x="(c->'pages')")}, lambda x: try_cast(trim(x->>'$') as int)), lambda x: x is not null) ps from st),
+s as (select id, p, p->>'packageId' pid, try_cast(p->>'pages' as int) n from summary)"""
+
+
 @query(f"""
-with {_LATEST_SUMMARY} select p->>'packageId' package_id, coalesce(nullif(p->>'collectionCode', ''), split_part(p->>'packageId', '-', 1)) collection, try_cast(p->>'congress' as int) congress, try_cast(p->>'session' as int) "session",
-  try_cast(substr(p->>'dateIssued', 1, 10) as date) date_issued, try_cast(p->>'pages' as int) pages, p->>'title' title from s where p->>'packageId' is not null""")
+{_CITED}, last as (select id, v from e qualify row_number() over (partition by id order by pos desc) = 1),
+r as (select s.*, coalesce(nullif(p->>'collectionCode', ''), split_part(pid, '-', 1)) collection, last.v from s left join last using (id) where pid is not null),
+w as (select *, coalesce(try_cast(p->>'volume' as int), case when collection = 'PLAW' then v end) volume from r)
+select pid package_id, collection, volume, try_cast(p->>'congress' as int) congress, try_cast(p->>'session' as int) "session", try_cast(substr(p->>'dateIssued', 1, 10) as date) date_issued, n pages, p->>'title' title,
+  case when collection = 'STATUTE' then volume <= 116 end scanned, p->'download'->>'pdfLink' pdf_url, p->'download'->>'uslmLink' xml_url from w""")
 def package_rows(spark: SparkSession, d: str) -> DataFrame:
-    rows = _summaries(spark, d).select(*catalog.package_row(F.col("s"))).where("package_id is not null")
-    return rows.select("package_id", "collection", "congress", "session", "date_issued", "pages", "title")
+    return _summaries(spark, d).select(*catalog.package_row(F.col("s"))).where("package_id is not null")
 
 
-@query()
+@query(f"""
+{_CITED}, best as (select e.* from e join s using (id) qualify row_number() over (partition by e.id order by coalesce(n > 0 and len(ps) = n, false) desc, len(ps) desc, pos) = 1),
+k as (select *, regexp_extract(pid, '^PLAW-([0-9]+)(publ|pvtl)([0-9]+)$', 1) c, regexp_extract(pid, '^PLAW-([0-9]+)(publ|pvtl)([0-9]+)$', 2) t, regexp_extract(pid, '^PLAW-([0-9]+)(publ|pvtl)([0-9]+)$', 3) m from s)
+select c || case when t = 'pvtl' then '-pvt' else '-' end || m pl_number, c::int congress, m::int law_number, p->>'title' title, try_cast(substr(p->>'dateIssued', 1, 10) as date) date_enacted, v volume, list_min(ps) start_page, list_max(ps) end_page
+from k left join best on k.id = best.id where c <> ''""")
 def law_rows(spark: SparkSession, d: str) -> DataFrame:
     return _summaries(spark, d).select(*catalog.statute_row(F.col("s"), F.lit(None).cast("string"))).where("pl_number is not null")
 
