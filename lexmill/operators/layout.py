@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from lexmill.functions import markers
 from lexmill.functions.text import clean, normalize, squash
+from lexmill.operators.report import merge_paragraphs
 from lexmill.operators.shred import decode
 
 ITEM = "struct<pos:int,page:int,label:string,text:string,l:double,t:double,r:double,b:double,cells:array<array<string>>,width:double,height:double>"
@@ -165,3 +166,16 @@ def place_lines(items: DataFrame, page: list[str], order: str = "first_pos") ->
     left = F.when(note, NOTE_BOX[0] * w).when(number, 0.80 * w).otherwise(BODY_BOX[0] * w)
     right = F.when(note, NOTE_BOX[1] * w).when(number, 0.95 * w).otherwise(BODY_BOX[1] * w)
     return items.withColumn("l", left).withColumn("r", right).withColumn("t", t).withColumn("b", F.greatest(low, F.lit(0.0)))
+
+
+def transcribed_items(lines: DataFrame, doc: str = "granule_id", width: float = 612.0, height: float = 792.0) -> DataFrame:
+    """Layout items of transcribed pages, for classify_items: `<doc>, page, pos, role, label, text, l, t, r, b, width, height, lines`.
+
+    `lines` has doc, page (from 1 within what was transcribed), first_page (of that range in the document; NULL: 1), pos, role, text, starts_paragraph. Lines are merged into paragraphs by role, pages
+    renumbered, and items placed where their role stands on a printed page. Blank lines are left out.
+    """
+    there = lines.withColumn("page", F.col("page") + F.coalesce("first_page", F.lit(1)) - 1)
+    merged = merge_paragraphs(there, [doc, "page"]).withColumn("width", F.lit(width)).withColumn("height", F.lit(height))
+    placed = place_lines(merged, [doc, "page"])
+    label = F.when(F.col("role") == "footnote", "footnote").otherwise("text")
+    return placed.select(doc, "page", F.col("first_pos").alias("pos"), "role", label.alias("label"), "text", "l", "t", "r", "b", "width", "height", "lines")

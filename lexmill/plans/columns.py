@@ -698,3 +698,27 @@ def job_costs(spark: SparkSession, d: str) -> DataFrame:
 
     e = table(spark, d, "unit_results").where("started_at is not null").select(F.col("unit_id").alias("job_id"), ids.profile_family(F.col("profile")).alias("flavor"), "status", "seconds", F.col("started_at").alias("at"))
     return job_ledger(e, spark.createDataFrame([("vlm", 1.8), ("scanned", 0.6)], "flavor string, hourly double"))
+
+
+# ---- transcriptions
+
+
+@query("""
+with i as (select distinct granule_id, page_no + 2 page, item_no pos, item_id, case item_no % 7 when 0 then 'running-head' when 3 then 'sidenote' when 5 then 'footnote' when 6 then 'page-number' else 'body' end as role, coalesce(text, orig) t, item_no % 2 = 0 starts
+  from page_items where granule_id is not null and page_no is not null),
+o as (select *, case when starts or row_number() over (partition by granule_id, page, role order by pos) = 1 then 1 else 0 end o from i where trim(t) <> ''),
+g as (select *, sum(o) over (partition by granule_id, page, role order by pos rows unbounded preceding) item from o),
+m as (select granule_id, page, role, item, min(pos) pos, count(*) lines from g group by 1, 2, 3, 4),
+c as (select *, greatest(1, sum((role = 'body')::int) over (partition by granule_id, page)) bodies, sum((role = 'body')::int) over w - 1 body, sum((role in ('running-head', 'page-number'))::int) over w - 1 head, sum((role = 'footnote')::int) over w - 1 foot from m
+  window w as (partition by granule_id, page order by pos rows unbounded preceding)),
+s as (select *, (0.92::double - 0.14::double) * 792 / bodies step from c),
+t as (select *, case when role in ('running-head', 'page-number') then greatest((0.945::double + 0.01::double) * 792, 0.985::double * 792 - head * 0.01::double * 792) when role = 'footnote' then greatest((0.065::double + 0.01::double) * 792, 0.125::double * 792 - foot * 0.01::double * 792)
+  else 0.92::double * 792 - greatest(0, body) * step end t, least(step * 0.8::double, 12.0::double) line from s)
+select granule_id, page, role, pos, round(case role when 'sidenote' then 0.82::double when 'page-number' then 0.80::double else 0.12::double end * 612, 3) l, round(case role when 'sidenote' then 0.97::double when 'page-number' then 0.95::double else 0.78::double end * 612, 3) r,
+  round(t, 3) t, round(greatest(0.0::double, case when role = 'body' then t - line else t - least(line, 0.009::double * 792) end), 3) b, lines from t""")
+def placed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Transcribed lines as layout items: merged into paragraphs, pages renumbered from the third on, placed by role."""
+    n = F.col("item_no")
+    role = F.when(n % 7 == 0, "running-head").when(n % 7 == 3, "sidenote").when(n % 7 == 5, "footnote").when(n % 7 == 6, "page-number").otherwise("body")
+    i = table(spark, d, "page_items").where("granule_id is not null and page_no is not null").select("granule_id", F.col("page_no").alias("page"), F.lit(3).alias("first_page"), n.alias("pos"), "item_id", role.alias("role"), F.coalesce("text", "orig").alias("text"), (n % 2 == 0).alias("starts_paragraph")).distinct()
+    return layout.transcribed_items(i).select("granule_id", "page", "role", "pos", *[F.round(c, 3).alias(c) for c in "lrtb"], "lines")

@@ -85,4 +85,42 @@ def stop_on_credit(attempts: DataFrame, order: list[str]) -> DataFrame:
     return attempts.where(F.coalesce(place <= first.scalar(), F.lit(True)))
 
 
+class ServiceError(RuntimeError):
+    """A service's answer that is no result: its status, and the seconds it asks to wait."""
+
+    def __init__(self, status: int, message: str = "", wait: float | None = None):
+        super().__init__(f"{status} {message}".strip())
+        self.status, self.wait = status, wait
+
+
+class Throttled:
+    """An engine around a remote one: at most `per_second` calls by a task, several attempts where another one may help (too many requests, server errors), and none at all once credit has run out.
+
+    What a service limits is the sum over tasks: give each its share. `clock` and `sleep` are parameters for tests.
+    """
+
+    def __init__(self, call: Callable[[dict], tuple[str, int]], per_second: float = 1.0, attempts: int = 4, most: float = 60.0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.call, self.gap, self.attempts, self.most, self.clock, self.sleep = call, 1.0 / per_second, attempts, most, clock, sleep
+        self.free_at, self.exhausted = 0.0, False
+        self.notes: list[str] = []
+
+    def __call__(self, row: dict) -> tuple[str, int]:
+        if self.exhausted:
+            raise ServiceError(402, "not called: credit balance is exhausted")
+        for attempt in range(self.attempts):
+            if (wait := self.free_at - self.clock()) > 0:
+                self.sleep(wait)
+            self.free_at = self.clock() + self.gap
+            try:
+                return self.call(row)
+            except ServiceError as e:
+                self.exhausted = "credit balance" in str(e).lower()
+                if self.exhausted or attempt == self.attempts - 1 or not (e.status == 429 or e.status >= 500):
+                    raise
+                pause = min(self.most, 2.0**attempt if e.wait is None else e.wait)
+                self.notes.append(f"attempt {attempt + 1} got {e.status}; next one in {pause:g} s")
+                self.sleep(pause)
+        raise AssertionError("unreachable")
+
+
 register(Family("text", lambda variant: lambda row: (str(row.get("text") or ""), 1), "passes a unit's own text on"))

@@ -42,3 +42,37 @@ def test_job_costs(spark):
     events = spark.createDataFrame([("j", "big", "running", None, 1), ("j", "big", "done", 1800.0, 2), ("k", "odd", "done", 10.0, 1), ("l", "big", "running", None, 1)], "job_id string, flavor string, status string, seconds double, at int")
     rates = spark.createDataFrame([("big", 2.0)], "flavor string, hourly double")
     assert {r.job_id: (r.status, r.cost) for r in transfers.job_ledger(events, rates).collect()} == {"j": ("done", 1.0), "k": ("done", None), "l": ("running", None)}
+
+
+def test_throttled_engine_waits_retries_and_stops(spark):
+    from lexmill.providers.registry import ServiceError, Throttled
+
+    now, slept, answers = [0.0], [], []
+
+    def sleep(s):
+        slept.append(round(s, 3))
+        now[0] += s
+
+    def call(row):
+        a = answers.pop(0)
+        if isinstance(a, Exception):
+            raise a
+        return a, 1
+
+    engine = Throttled(call, per_second=2.0, attempts=3, clock=lambda: now[0], sleep=sleep)
+    answers[:] = ["a", "b"]
+    assert [engine({})[0], engine({})[0]] == ["a", "b"] and slept == [0.5]
+    answers[:] = [ServiceError(429, wait=7.0), ServiceError(503), "c"]
+    assert engine({})[0] == "c" and slept[-2:] == [7.0, 2.0] and len(engine.notes) == 2
+    for error in (ServiceError(404), ValueError("x")):  # no use trying again
+        answers[:] = [error]
+        try:
+            raise AssertionError(engine({}))
+        except type(error):
+            assert not answers
+    answers[:] = [ServiceError(500)] * 3 + [ServiceError(400, "Your credit balance is too low"), "never"]
+    for left in (2, 1, 1):
+        try:
+            raise AssertionError(engine({}))
+        except ServiceError:
+            assert len(answers) == left
