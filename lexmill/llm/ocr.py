@@ -421,7 +421,7 @@ def lexicon(counts: DataFrame, min_count: int = MIN_COUNT) -> Lexicon:
     total = counts.where("b is null").agg(F.sum("n")).first()[0] or 0
     name = (F.col("small") < SMALL_SHARE * F.col("n")) & (F.col("n") < NAME_SHARE * total)
     words = cut(single.select(F.col("a").alias("word"), "n", name.alias("name")))
-    inner = _looked_up(words.select(F.col("word").alias("form"))).join(words.select(F.col("word").alias("form"), F.col("n").alias("nf")), "form")
+    inner = _looked_up(words.select(F.col("word").alias("form"), F.col("n").alias("nf")))
     found = cut(look_up(inner.select("form"), _targets(words), CONFUSIONS).join(inner, "form").join(words.select("word", "n"), "word"))
     rarer = found.where(F.col("n") >= DOMINANCE * F.col("nf"))
     # substitutions that come up again and again between rare forms and common words are usual, too
@@ -536,7 +536,7 @@ def repair(pages: Pages, lex: Lexicon) -> Repairs:
     joins = seen.where("kind = 'j'").select("item_id", "at", "taker", "head", F.col("tail"), whole.alias("plain"), F.lower(F.concat_ws("-", "tail", "head")).alias("compound"))
     asked = words.select("form").union(joins.select(F.explode(F.array("plain", "compound")))).distinct()
     known = lex.words.select(F.col("word").alias("form"), F.lit(True).alias("known"))
-    forms = _looked_up(asked).join(known, "form", "left").join(lex.forms.select("form", F.col("n").alias("nf")), "form", "left").withColumn("nf", F.coalesce("nf", F.lit(1)))
+    forms = cut(_looked_up(asked).join(known, "form", "left").join(lex.forms.select("form", F.col("n").alias("nf")), "form", "left").withColumn("nf", F.coalesce("nf", F.lit(1))))
     targets = lex.words.select("word", "n")
     rows = look_up(forms.select("form"), _targets(lex.words), lex.usual).join(targets, "word").join(forms, "form")
     rows = rows.where(F.when(F.col("known"), F.col("cost") < PLAIN).otherwise(F.col("n") >= DOMINANCE * F.col("nf")))
@@ -552,19 +552,14 @@ def repair(pages: Pages, lex: Lexicon) -> Repairs:
 
 def _misread(words: DataFrame, found: DataFrame, lex: Lexicon) -> DataFrame:
     """`item_id, at, printed, edge, fixed` of the examined words that have an accepted candidate."""
-    keys = ["item_id", "at", "printed", "edge", "form"]
-    c = words.join(found, "form").select(*keys, "before", "after", "word", "n", "nf", "known", "usual", "alone", "score")
+    keys, facts = ["item_id", "at", "printed", "edge", "form", "word"], ["n", "nf", "known", "usual", "alone", "score"]
     asked = F.array(*[F.struct(F.lit(side).alias("side"), a.alias("a"), b.alias("b")) for side, a, b in (
         ("wb", F.col("before"), F.col("word")), ("wa", F.col("word"), F.col("after")), ("fb", F.col("before"), F.col("form")), ("fa", F.col("form"), F.col("after")))])
-    sides = c.select("*", F.inline(asked)).where("a != '' and b != ''")
-    wanted = sides.select("a", "b").distinct()
-    have = lex.pairs.join(wanted, ["a", "b"], "left_semi")
-    counted = sides.join(have.select("a", "b", F.col("n").alias("pairs")), ["a", "b"], "left").groupBy(*keys, "word").agg(*[F.max(F.when(F.col("side") == s, F.coalesce("pairs", F.lit(0)))).alias(s) for s in ("wb", "wa", "fb", "fa")])
-    fits = lambda w, f: F.coalesce((F.col(w) >= MIN_PAIRS) & (F.col(w) >= DOMINANCE * F.col(f)), F.lit(False)).cast("int")
-    fit = fits("wb", "fb") + fits("wa", "fa")
-    one = c.drop("before", "after").dropDuplicates([*keys, "word"])
-    both = one.join(counted.select(*[F.col(k).alias(f"_{k}") for k in ("item_id", "at", "word")], fit.alias("fit")), (F.col("item_id") == F.col("_item_id")) & (F.col("at") == F.col("_at")) & (F.col("word") == F.col("_word")), "left")
-    both = both.withColumn("fit", F.coalesce("fit", F.lit(0)))
+    sides = words.join(found, "form").select(*keys, *facts, F.inline(asked))
+    counted = sides.join(lex.pairs.select("a", "b", F.col("n").alias("pairs")), ["a", "b"], "left").groupBy(*keys)
+    both = counted.agg(*[F.max(c).alias(c) for c in facts], *[F.max(F.when(F.col("side") == s, F.coalesce("pairs", F.lit(0)))).alias(s) for s in ("wb", "wa", "fb", "fa")])
+    fits = lambda w, f: ((F.col(w) >= MIN_PAIRS) & (F.col(w) >= DOMINANCE * F.col(f))).cast("int")
+    both = both.withColumn("fit", fits("wb", "fb") + fits("wa", "fa"))
     rare = F.col("n") >= DOMINANCE**2 * F.col("nf")
     context = (F.length("form") > 4) & F.col("form").rlike(r"^\p{L}+$") & rare & (F.col("fit") == 2)
     accepted = F.when(F.col("known"), F.col("usual") & (F.col("fit") == 2)).otherwise(F.col("alone") | context)
@@ -576,10 +571,10 @@ def _joined(joins: DataFrame, found: DataFrame, lex: Lexicon) -> DataFrame:
     """`item_id, joined, taker, between`: for each broken word the first line that goes on with it."""
     best = found.groupBy("form").agg(F.min(F.struct("score", "word")).alias("b")).select("form", F.col("b.word").alias("fixed"))
     asked = F.array(*[F.struct(F.lit(k).alias("what"), f.alias("form")) for k, f in (("plain", F.col("plain")), ("compound", F.col("compound")), ("head", F.lower("head")))])
-    each = joins.select("item_id", "at", "taker", F.inline(asked))
+    keys = ["item_id", "at", "taker", "head", "plain", "compound"]
+    each = joins.select(*keys, F.inline(asked))
     info = lex.words.select(F.col("word").alias("form"), "n").join(best, "form", "full")
-    told = each.join(info, "form", "left").groupBy("item_id", "at", "taker").agg(*[F.max(F.when(F.col("what") == w, F.col(v))).alias(f"{w}_{v}") for w in ("plain", "compound", "head") for v in ("n", "fixed")])
-    d = joins.dropDuplicates(["item_id", "at", "taker"]).join(told, ["item_id", "at", "taker"])
+    d = each.join(info, "form", "left").groupBy(*keys).agg(*[F.max(F.when(F.col("what") == w, F.col(v))).alias(f"{w}_{v}") for w in ("plain", "compound", "head") for v in ("n", "fixed")])
     a, b = F.coalesce("plain_n", F.lit(0)), F.coalesce("compound_n", F.lit(0))
     initial, head_known = F.substring("head", 1, 1).rlike(r"^\p{Ll}"), F.col("head_n").isNotNull()
     fragment = ~head_known & initial & ~F.col("head").rlike("[0-9]")
