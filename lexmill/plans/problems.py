@@ -291,7 +291,7 @@ def p3_runs(spark: SparkSession, d: str) -> DataFrame:
     ledger = IntervalLedger(spark, path, UNIT, ["digest"])
     for k in range(DELIVERIES):
         share = (k + 1) / DELIVERIES
-        have = units if at.a is None or share == 1 else units.where(F.col("listed_at") <= F.lit(at.a + (at.b - at.a) * share))
+        have = units if at.a is None or share == 1 else units.where(F.col("listed_at") <= F.lit(str(at.a + (at.b - at.a) * share)).cast(units.schema["listed_at"].dataType))
         ledger.arrive(have.select(*[e.alias(c) for c, e in _unit_keys().items()], digest_key(F.col("input_sha256")).alias("digest")))
         ledger.run(lambda todo, k=k: todo.select(F.lit(k + 1).alias("delivery"), *UNIT, "digest"))
     out = cut(ledger.output())

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.plans import problems, reference
+from lexmill.plans import columns, problems, reference
 from lexmill.providers import registry
 from lexmill.sources import files, rest
 from lexmill.streaming import sync
@@ -138,9 +138,9 @@ def _compare():
     return module
 
 
-@pytest.mark.parametrize("name", [*problems.QUERIES, *reference.QUERIES])
+@pytest.mark.parametrize("name", [*problems.QUERIES, *reference.QUERIES, *columns.QUERIES])
 def test_query_equals_its_sql(spark, duck, name):
-    queries, sqls = problems.QUERIES | reference.QUERIES, problems.SQL | reference.SQL
+    queries, sqls = problems.QUERIES | reference.QUERIES | columns.QUERIES, problems.SQL | reference.SQL | columns.SQL
     df = queries[name](spark, DATA)
     got = [tuple(r) for r in df.collect()]
     if name not in sqls:
