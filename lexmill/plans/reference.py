@@ -567,18 +567,17 @@ def compared_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _both_readings(spark: SparkSession, d: str, generated: Column) -> DataFrame:
-    """Documents of all lines with orig (`reference`) and of all with the `generated` text; NULL for a granule without such lines."""
+    """Documents of all lines with orig (`reference`) and of all with the `generated` text; NULL for a granule without such lines. Both are built in one pass, from one scan."""
     from lexmill.operators.build import build_documents
 
-    base = table(spark, d, "page_items").where("granule_id is not null")
-    g = _granules(spark, d).select("granule_id", catalog.identity_of_granule({c: F.col(c) for c in ("granule_class", "number", "congress", "package_id", "page_start", "granule_id", "date_issued", "title")}).alias("identity"))
-
-    def built(c: Column, name: str) -> DataFrame:
-        p = base.where(c.isNotNull()).select("item_id", "granule_id", F.col("page_no").alias("page"), F.col("item_no").alias("pos"), "label", c.alias("text"), "l", "t", "r", "b").distinct()
-        p = p.withColumn("width", F.lit(612.0)).withColumn("height", F.lit(792.0)).withColumn("cells", F.lit(None).cast("array<array<string>>"))
-        return build_documents(layout.classify_items(p), g).select("granule_id", F.col("xml").alias(name))
-
-    return built(F.col("orig"), "reference").join(built(generated, "generated"), "granule_id", "full")
+    readings = F.array(*[F.struct(F.lit(n).alias("reading"), c.alias("text")) for n, c in (("reference", F.col("orig")), ("generated", generated))])
+    document = F.concat_ws(":", "reading", "granule_id").alias("document")
+    lines = table(spark, d, "page_items").where("granule_id is not null").select("item_id", "granule_id", F.col("page_no").alias("page"), F.col("item_no").alias("pos"), "label", "l", "t", "r", "b", F.inline(readings)).where("text is not null")
+    p = lines.select(document, "item_id", "page", "pos", "label", "text", "l", "t", "r", "b").distinct().withColumn("width", F.lit(612.0)).withColumn("height", F.lit(792.0)).withColumn("cells", F.lit(None).cast("array<array<string>>"))
+    who = catalog.identity_of_granule({c: F.col(c) for c in ("granule_class", "number", "congress", "package_id", "page_start", "granule_id", "date_issued", "title")})
+    g = _granules(spark, d).select("granule_id", who.alias("identity"), F.explode(F.array(F.lit("reference"), F.lit("generated"))).alias("reading")).select(document, "identity")
+    built = build_documents(layout.classify_items(p, "document"), g, "document").select(F.substring_index("document", ":", 1).alias("reading"), F.expr("substring(document, locate(':', document) + 1)").alias("granule_id"), "xml")
+    return built.groupBy("granule_id").agg(*[F.max(F.when(F.col("reading") == n, F.col("xml"))).alias(n) for n in ("reference", "generated")])
 
 
 @query()
